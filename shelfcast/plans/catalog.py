@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from shelfcast.plans import feature_queries, grid_queries, score_queries  # noqa: F401
+from shelfcast.plans import feature_queries, grid_queries, model_queries, score_queries  # noqa: F401
 from shelfcast.plans.registry import ORACLES, QUERIES  # noqa: F401
