@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
@@ -52,7 +52,7 @@ def feature_stages(numeric: Sequence[str], categorical: Sequence[str]) -> list:
 
 
 def _glm(label: str, weight: str | None, **kind) -> GeneralizedLinearRegression:
-    model = GeneralizedLinearRegression(labelCol=label, featuresCol="features", maxIter=15, regParam=1e-3, **kind)
+    model = GeneralizedLinearRegression(labelCol=label, featuresCol="features", maxIter=25, regParam=1e-3, **kind)
     return model.setWeightCol(weight) if weight else model
 
 
@@ -75,14 +75,36 @@ def tree_model(label: str = "sales", weight: str | None = None, rounds: int = 20
 
 
 def train(
-    rows: DataFrame, estimator, numeric: Sequence[str], categorical: Sequence[str] = (), label: str = "sales"
+    rows: DataFrame, estimator, numeric: Sequence[str], categorical: Sequence[str] = (), label: str = "sales",
+    unknown: float | None = None,
 ) -> PipelineModel:
-    """Fit on the rows whose features and label are all known."""
+    """Fit on the rows whose features and label are all known.
+
+    With ``unknown``, missing numeric features take that value instead of
+    losing the row; a share that is undefined on one day would otherwise blank
+    a month of rolling means.
+
+    Models with a log link are fitted to a label scaled to mean 0.1 and their
+    predictions scaled back, which leaves the fit the same up to its intercept.
+    The solver starts from ``max(label, 0.1)``; on mostly-zero sales that start
+    is far off, and it would diverge or take dozens of passes to return.
+    """
     weight = estimator.getOrDefault("weightCol") if estimator.isSet("weightCol") else None
     used = list(dict.fromkeys([*numeric, *categorical, label, *([weight] if weight else [])]))
-    complete = rows.select(*used).na.drop("any")
-    with kept(complete) as stored:
-        return Pipeline(stages=[*feature_stages(numeric, categorical), estimator]).fit(stored)
+    complete = rows.select(*used)
+    if unknown is not None:
+        complete = complete.na.fill(unknown, subset=list(numeric))
+    rows = complete.na.drop("any")
+    prepared = Pipeline(stages=feature_stages(numeric, categorical)).fit(rows)
+    # the solver passes over the finished vectors, not over the stages that build them
+    with kept(prepared.transform(rows).select("features", label, *([weight] if weight else []))) as stored:
+        if not (isinstance(estimator, GeneralizedLinearRegression) and estimator.getOrDefault("family") in ("poisson", "tweedie")):
+            return PipelineModel([*prepared.stages, estimator.fit(stored)])
+        unit = 10.0 * stored.agg(F.avg(label)).first()[0]
+        scaled = estimator.copy().setLabelCol("_label").setPredictionCol("_scaled_prediction")
+        model = scaled.fit(stored.withColumn("_label", F.col(label) / unit))
+        back = SQLTransformer(statement=f"SELECT *, _scaled_prediction * {unit!r}D AS prediction FROM __THIS__")
+        return PipelineModel([*prepared.stages, model, back])
 
 
 def predictor(*models: PipelineModel, numeric: Sequence[str] = ()) -> Predictor:
@@ -150,8 +172,10 @@ def tune(
 
 def importances(model: PipelineModel, rows: DataFrame) -> list[tuple[str, float]]:
     """Feature names with the importance (trees) or coefficient (linear) the model gives them."""
-    last = model.stages[-1]
+    last = next(s for s in reversed(model.stages) if hasattr(s, "featureImportances") or hasattr(s, "coefficients"))
     values = last.featureImportances if hasattr(last, "featureImportances") else last.coefficients
     attributes = model.transform(rows.limit(1)).schema["features"].metadata["ml_attr"]["attrs"]
-    names = {a["idx"]: a["name"] for group in attributes.values() for a in group}
+    numeric = model.stages[0].getInputCols()
+    names = {a["idx"]: a["name"].lstrip("_").replace("_flags_", "=") for group in attributes.values() for a in group}
+    names.update(enumerate(numeric))
     return [(names.get(i, f"feature_{i}"), float(v)) for i, v in enumerate(values.toArray())]

@@ -146,10 +146,15 @@ def share_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("train_share")
 def train_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-entropy model of item shares."""
-    rows = share_features(spark, sf_dir).select("sales", *LAGGED, "sell_price", *SMALL).na.drop("any")
-    rows = cut_lineage(rows)
-    model = train(rows, share_model(label="sales"), [*LAGGED, "sell_price"], SMALL)
-    return _calibration(model.transform(rows), "sales")
+    rows, numeric = share_history(spark, sf_dir), [*LAGGED, "sell_price"]
+    model = train(rows, share_model(label="sales"), numeric, SMALL, unknown=0.0)
+    return _calibration(predictor(model, numeric=numeric)(rows), "sales")
+
+
+def share_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training rows with a known share."""
+    rows = share_features(spark, sf_dir).filter(F.col("sales").isNotNull())
+    return cut_lineage(rows.select("sales", *LAGGED, "sell_price", *SMALL))
 
 
 @query("recursive_model")
@@ -170,10 +175,7 @@ def recursive_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recursion of a share model; the shares of each new day add up to 1."""
     horizon = panel_horizon(spark, sf_dir)
     numeric = [*LAGGED, "sell_price"]
-    history = cut_lineage(
-        share_features(spark, sf_dir).filter(F.col("d") <= horizon.train_last).select("sales", *numeric, *SMALL).na.drop("any")
-    )
-    model = train(history, share_model(label="sales"), numeric, SMALL)
+    model = train(share_history(spark, sf_dir), share_model(label="sales"), numeric, SMALL, unknown=0.0)
     grid = panel_grid(spark, sf_dir, rate=False)
     shares = share_of_total(grid, ["dept_id", "store_id", "d"], "sales", "share")
     shares = shares.drop("sales").withColumnRenamed("share", "sales")
