@@ -90,7 +90,9 @@ def weighted_scores(
     """
     levels = ["level", "key"]
     scale = naive_scale(rollup_levels(train), levels, train_last)
-    level_errors = rollup_levels(errors, ["error"], [*by, "h"])
+    # most items miss by nothing on most days; the first day keeps every series in
+    missed = errors.filter((F.col("error") != 0) | (F.col("h") == 1))
+    level_errors = rollup_levels(missed, ["error"], [*by, "h"])
     scored = rmsse(level_errors, scale, levels, by, steps).join(revenue_weights(revenues), levels)
     score = F.coalesce("rmsse", F.lit(1.0)) if compat else F.col("rmsse")
     return scored.groupBy(*by, "level").agg(F.sum(F.col("weight") * score).alias("score"))

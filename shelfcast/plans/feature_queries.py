@@ -122,13 +122,13 @@ def store_dept_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("store_dept_series", with_panel("brand", STORE_DEPT_SQL) + """
 SELECT store_id, dept_id, d, ds, y, snap, round(price, 6) AS price, dom FROM store_dept""")
 def store_dept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return store_dept_table(spark, sf_dir).withColumn("price", F.round("price", 6))
+    return store_dept_table(spark, sf_dir).withColumn("price", r6("price"))
 
 
 @query("growth_rate", with_panel("part") + "SELECT dept_id, store_id, round(rate, 6) AS rate FROM rates")
 def growth_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = panel_rates(panel_sales(spark, sf_dir), panel_horizon(spark, sf_dir))
-    return rates.withColumn("rate", F.round("rate", 6))
+    return rates.withColumn("rate", r6("rate"))
 
 
 SUMMED = ["lag_7", "lag_28", *ROLLED, "sales"]
@@ -139,7 +139,7 @@ SUMMED = ["lag_7", "lag_28", *ROLLED, "sales"]
 def topdown_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item features added up per store and department; unknown ones count as 0."""
     table = series_features(panel_grid(spark, sf_dir, rate=False), ["id"])
-    sums = [F.round(F.coalesce(F.sum(c), F.lit(0.0)), 6).alias(c) for c in SUMMED]
+    sums = [r6(F.coalesce(F.sum(c), F.lit(0.0)), c) for c in SUMMED]
     return table.groupBy("dept_id", "store_id", "cat_id", "state_id", "d").agg(*sums)
 
 
@@ -238,7 +238,7 @@ def _model_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = baseline_forecasts(spark, sf_dir)
     long = base.unpivot(["store_id", "dept_id", "truth"], BASELINES, "model", "yhat")
     square = F.pow(F.col("truth") - F.col("yhat"), F.lit(2.0))
-    return long.groupBy("store_id", "dept_id", "model").agg(F.round(F.sqrt(F.avg(square)), 6).alias("rmse"))
+    return long.groupBy("store_id", "dept_id", "model").agg(r6(F.sqrt(F.avg(square)), "rmse"))
 
 
 @query("worst_series", with_panel("part", MODEL_RMSE_SQL) + """
@@ -305,7 +305,7 @@ FOURIER = [("yearly", 365.25, 3), ("monthly", 365.25 / 12, 2), ("weekly", 7.0, 2
 
 
 @query("fourier_features", with_panel("part") + "SELECT store_id, dept_id, d, "
-       + ", ".join(f"round({fn}(2 * pi() * {k} / {period!r} * d), 6) AS {name}_{fn}_{k}"
+       + ", ".join(f"round({fn}(2 * pi() * {k} / {period!r} * d), 6) + 0.0 AS {name}_{fn}_{k}"
                    for name, period, order in FOURIER for k in range(1, order + 1) for fn in ("sin", "cos"))
        + " FROM dept")
 def fourier_features(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -135,7 +135,7 @@ SELECT item_id, dept_id, cat_id, store_id, state_id, wday, month, year, event_na
 def features_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The grid without the columns that are not features."""
     grid = panel_grid(spark, sf_dir)
-    return grid.select(*feature_columns(grid)).withColumn("sell_price", F.round("sell_price", 6))
+    return grid.select(*feature_columns(grid)).withColumn("sell_price", r6("sell_price"))
 
 
 @query("drop_cols", with_panel("part") + """
@@ -413,7 +413,7 @@ def models_side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three forecast tables joined on id and step in one shuffle."""
     base = baseline_forecasts(spark, sf_dir).withColumn("id", with_label("id", "validation"))
     joined = join_models({m: base.select("id", "h", F.col(m).alias("yhat")) for m in BASELINES})
-    return joined.withColumn("mean28", F.round("mean28", 6))
+    return joined.withColumn("mean28", r6("mean28"))
 
 
 @query("update_join", with_panel("part") + """

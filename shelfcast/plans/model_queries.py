@@ -41,7 +41,7 @@ def recursive_seasonal(spark: SparkSession, sf_dir: str) -> DataFrame:
     horizon = panel_horizon(spark, sf_dir)
     days = dept_days(panel_sales(spark, sf_dir).filter(F.col("d") <= horizon.train_last), horizon.train_last)
     rates = growth_rates(days, horizon.train_last)
-    return seasonal_forecast(days, rates, horizon.train_last).withColumn("yhat", F.round("yhat", 6))
+    return seasonal_forecast(days, rates, horizon.train_last).withColumn("yhat", r6("yhat"))
 
 
 # Coefficients of a linear model that SQL can follow.
@@ -270,7 +270,7 @@ def cv_rmsse(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tune_per_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best of twelve parameter sets for every series."""
     scored = score_candidates(_series(spark, sf_dir), random_candidates(12, seed=3), panel_horizon(spark, sf_dir).train_last)
-    best = scored.groupBy(*SERIES_KEYS).agg(F.min(F.struct(F.round("rmsse", 6).alias("rmsse"), "candidate")).alias("b"))
+    best = scored.groupBy(*SERIES_KEYS).agg(F.min(F.struct(r6("rmsse"), "candidate")).alias("b"))
     return best.select(*SERIES_KEYS, "b.candidate", "b.rmsse")
 
 

@@ -83,21 +83,21 @@ def panel_sales(spark: SparkSession, sf_dir: str, grain: str = "part", first: da
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    store = (
-        table(spark, sf_dir, "supplier")
-        .select("s_suppkey", "s_nationkey")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", F.col("r_name").alias("store_id"))
-    )
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     item = {"part": F.concat_ws("_", "p_type", "p_partkey"), "brand": F.concat_ws("_", "p_type", "p_brand")}[grain]
+    # a left-deep chain: Spark knows the size of each plain table, but not that of a joined dimension
     return (
-        lines.join(store, F.col("l_suppkey") == F.col("s_suppkey"))
+        lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy(item.alias("item_id"), F.col("p_type").alias("dept_id"), "store_id", day_number("date").alias("d"))
+        .groupBy(
+            item.alias("item_id"), F.col("p_type").alias("dept_id"), F.col("r_name").alias("store_id"),
+            day_number("date").alias("d"),
+        )
         .agg(
             F.sum("l_quantity").alias("sales"),
-            F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("cents"),
+            F.sum(F.floor(F.col("l_extendedprice") * 100 + 0.5)).alias("cents"),
         )
         .select(
             F.concat_ws("_", "item_id", "store_id").alias("id"),

@@ -109,7 +109,7 @@ def series_rmsse(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("revenue_weights", with_panel("part", *SCORE_SQL) + "SELECT level, key, round(weight, 6) AS weight FROM weights")
 def weights_by_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, _, earned = _history(spark, sf_dir)
-    return revenue_weights(earned).withColumn("weight", F.round("weight", 6))
+    return revenue_weights(earned).withColumn("weight", r6("weight"))
 
 
 @query("wrmsse", with_panel("part", *SCORE_SQL, *scores_sql()) + """
@@ -121,8 +121,9 @@ def wrmsse(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = baseline_forecasts(spark, sf_dir)
     errors = base.select(*KEYS, "h", (F.col("truth") - F.col("snaive28")).alias("error"))
     scores = weighted_scores(history, errors, earned, horizon.train_last)
-    mean = overall_score(scores).select(F.lit("mean").alias("level"), F.col("wrmsse").alias("score"))
-    return scores.unionByName(mean).withColumn("score", F.round("score", 6))
+    # one row per level, and the roll-up row that averages them
+    with_mean = scores.rollup("level").agg(F.avg("score").alias("score"))
+    return with_mean.select(F.coalesce("level", F.lit("mean")).alias("level"), r6("score"))
 
 
 @query("wrmsse_models", with_panel("part", *SCORE_SQL, *scores_sql()) + """
@@ -131,7 +132,7 @@ def wrmsse_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All models scored in one job."""
     horizon, history, earned = _history(spark, sf_dir)
     scores = weighted_scores(history, _errors(spark, sf_dir), earned, horizon.train_last, ["model"])
-    return overall_score(scores, ["model"]).withColumn("wrmsse", F.round("wrmsse", 6))
+    return overall_score(scores, ["model"]).withColumn("wrmsse", r6("wrmsse"))
 
 
 CANDIDATES = [
@@ -153,7 +154,7 @@ def blend_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     blends = candidate_blends(baseline_forecasts(spark, sf_dir), CANDIDATES)
     errors = blends.select(*KEYS, "h", "model", (F.col("truth") - F.col("yhat")).alias("error"))
     scores = overall_score(weighted_scores(history, errors, earned, horizon.train_last, ["model"]), ["model"])
-    best = scores.agg(F.min(F.struct(F.round("wrmsse", 6).alias("wrmsse"), "model")).alias("b"))
+    best = scores.agg(F.min(F.struct(r6("wrmsse"), "model")).alias("b"))
     return best.select("b.model", "b.wrmsse")
 
 
@@ -162,7 +163,7 @@ def blend_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("rmse_by_model", with_panel("part") + " UNION ALL ".join(
     f"SELECT '{m}' AS model, round(sqrt(avg((truth - {m}) ** 2)), 6) AS rmse FROM base" for m in BASELINES))
 def rmse_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rmse(baseline_forecasts(spark, sf_dir), "truth", BASELINES).withColumn("rmse", F.round("rmse", 6))
+    return rmse(baseline_forecasts(spark, sf_dir), "truth", BASELINES).withColumn("rmse", r6("rmse"))
 
 
 P_SQL = "(greatest(mean28, 0.0) + 1e-7)"
@@ -294,13 +295,13 @@ def top_down(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("top_down_pairs", with_panel("brand", SHARES_SQL) + """
-SELECT id, h, forecast_model, weight_model, round(volume * weight + 1e-9, 6) AS yhat
+SELECT id, h, forecast_model, weight_model, round(volume * weight, 6) AS yhat
 FROM (SELECT b.id, b.store_id, b.dept_id, b.h, w.weight_model,
              CASE w.weight_model WHEN 'share28' THEN share
                   WHEN 'equal' THEN 1.0 / count(*) OVER (PARTITION BY b.store_id, b.dept_id, b.h, w.weight_model)
                   ELSE snaive7 / nullif(sum(snaive7) OVER (PARTITION BY b.store_id, b.dept_id, b.h, w.weight_model), 0) END AS weight
       FROM base b JOIN shares s ON s.id = b.id CROSS JOIN (VALUES ('share28'), ('equal'), ('snaive7')) w(weight_model)) w
-JOIN (UNPIVOT (SELECT store_id, dept_id, h, sum(snaive7) AS snaive7, sum(snaive28) AS snaive28, sum(mean28) AS mean28 FROM base GROUP BY ALL)
+JOIN (UNPIVOT (SELECT store_id, dept_id, h, round(sum(snaive7), 6) AS snaive7, round(sum(snaive28), 6) AS snaive28, round(sum(mean28), 6) AS mean28 FROM base GROUP BY ALL)
       ON snaive7, snaive28, mean28 INTO NAME forecast_model VALUE volume) v USING (store_id, dept_id, h)""")
 def top_down_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three department forecasts under three weightings, all nine in one join."""
@@ -313,8 +314,8 @@ def top_down_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(_trailing_shares(base).select("id", F.col("share").alias("share28")), "id")
         .unpivot(["id", *group], ["share28", "equal", "snaive7"], "weight_model", "weight")
     )
-    # the small addend moves exact ties off the rounding boundary
-    return spread(_dept_volumes(base), weights).withColumn("yhat", F.round(F.col("yhat") + 1e-9, 6))
+    volumes = _dept_volumes(base).withColumn("volume", r6("volume"))
+    return spread(volumes, weights).withColumn("yhat", r6("yhat"))
 
 
 # --- blends and stacks -------------------------------------------------------

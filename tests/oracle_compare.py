@@ -5,12 +5,14 @@
 
 from __future__ import annotations
 
-import math
 import os
 import sys
 import time
 
 import duckdb
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
@@ -29,45 +31,35 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def _cell(value):
-    if value is None:
-        return ""
-    if hasattr(value, "item"):
-        value = value.item()
-    if isinstance(value, bool):
-        return str(int(value))
-    if isinstance(value, float):
-        if math.isnan(value):
-            return "nan"
-        return repr(round(value, 9) + 0.0)
-    if isinstance(value, int):
-        return repr(float(value))
-    if type(value).__name__ == "Decimal":
-        return repr(float(value))
-    return str(value)
-
-
-def rows_of(columns, rows):
-    order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return sorted(tuple(_cell(r[i]) for i in order) for r in rows)
+def _normal(table) -> pd.DataFrame:
+    """Columns by name; numbers as rounded doubles, everything else as text."""
+    out = {}
+    for name in sorted(table.column_names):
+        column = table.column(name)
+        kind = column.type
+        if pa.types.is_boolean(kind) or pa.types.is_integer(kind) or pa.types.is_floating(kind) or pa.types.is_decimal(kind):
+            values = column.cast(pa.float64(), safe=False).to_pandas().astype(float)
+            out[name] = values.round(9) + 0.0
+        else:
+            out[name] = column.cast(pa.string()).to_pandas().fillna("<null>").astype(object)
+    return pd.DataFrame(out)
 
 
 def compare(df, con, sql):
-    """None when equal, else a description of the first difference."""
-    columns = df.columns
-    table = df.toArrow()
-    mine = rows_of(columns, zip(*[table.column(i).to_pylist() for i in range(len(columns))]) if columns else [])
-    relation = con.execute(sql).to_arrow_table()
-    names = relation.column_names
-    if sorted(names) != sorted(columns):
-        return f"columns {sorted(columns)} vs {sorted(names)}", len(mine)
-    theirs = rows_of(names, zip(*[relation.column(i).to_pylist() for i in range(len(names))]))
+    """None when equal, else a description of the first difference; and the number of rows."""
+    mine = _normal(df.toArrow())
+    theirs = _normal(con.execute(sql).to_arrow_table())
+    if list(mine.columns) != list(theirs.columns):
+        return f"columns {list(mine.columns)} vs {list(theirs.columns)}", len(mine)
     if len(mine) != len(theirs):
         return f"{len(mine)} rows vs {len(theirs)}", len(mine)
-    bad = [(a, b) for a, b in zip(mine, theirs) if a != b]
-    if bad:
-        return f"{len(bad)} of {len(mine)} rows differ over {sorted(columns)}: {bad[0][0]} vs {bad[0][1]}", len(mine)
-    return None, len(mine)
+    a = pd.util.hash_pandas_object(mine, index=False)
+    b = pd.util.hash_pandas_object(theirs, index=False)
+    if (np.sort(a.to_numpy()) == np.sort(b.to_numpy())).all():
+        return None, len(mine)
+    only_a, only_b = mine[~a.isin(b)], theirs[~b.isin(a)]
+    first = [x.sort_values(list(x.columns)).head(1).to_dict("records") for x in (only_a, only_b)]
+    return f"{len(only_a)} of {len(mine)} rows differ: {first[0]} vs {first[1]}", len(mine)
 
 
 def main() -> int:
