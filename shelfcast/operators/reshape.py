@@ -18,16 +18,17 @@ def melt_days(wide: DataFrame, keys: Sequence[str], prefix: str = "d_", value: s
     one projection per column.
     """
     days = [c for c in wide.columns if c.startswith(prefix)]
-    numbers = F.array(*[F.lit(int(c[len(prefix):])) for c in days])
+    numbers = F.expr(f"array({', '.join(str(int(c[len(prefix):])) for c in days)})")
     long = wide.select(*keys, F.posexplode(F.array(*days)).alias("_pos", value))
     return long.select(*keys, numbers[F.col("_pos")].alias("d"), value)
 
 
 def spread_days(long: DataFrame, keys: Sequence[str], first: int, last: int, value: str = "sales") -> DataFrame:
     """One ``d_<k>`` column per day; days without a row are 0."""
-    wide = long.groupBy(*keys).pivot("d", list(range(first, last + 1))).agg(F.sum(value))
-    days = [F.coalesce(F.col(f"`{k}`"), F.lit(0.0)).alias(f"d_{k}") for k in range(first, last + 1)]
-    return wide.select(*keys, *days)
+    days = range(first, last + 1)
+    wide = long.groupBy(*keys).pivot("d", list(days)).agg(F.sum(value))
+    # two calls for all columns: building thousands of expressions one by one takes longer than the job
+    return wide.na.fill(0.0, subset=[str(k) for k in days]).toDF(*keys, *[f"d_{k}" for k in days])
 
 
 def melt_steps(wide: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -302,7 +302,8 @@ def melt_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sales file with one column per day (all days), melted, then totalled per day."""
     horizon = panel_horizon(spark, sf_dir)
     wide = spread_days(panel_sales(spark, sf_dir, "brand"), KEYS, 1, horizon.last)
-    long = melt_days(wide, KEYS)
+    stored = read_table(spark, write_table(wide, scratch_path(spark, "wide")))
+    long = melt_days(stored, KEYS)
     return long.groupBy("dept_id", "store_id", "d").agg(
         F.count(F.lit(1)).alias("series"), F.sum("sales").alias("sales"), F.max("sales").alias("top")
     )

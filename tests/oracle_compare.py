@@ -48,7 +48,7 @@ def _normal(table) -> pd.DataFrame:
 def compare(df, con, sql):
     """None when equal, else a description of the first difference; and the number of rows."""
     mine = _normal(df.toArrow())
-    theirs = _normal(con.execute(sql).to_arrow_table())
+    theirs = _normal(con.sql(sql).to_arrow_table())
     if list(mine.columns) != list(theirs.columns):
         return f"columns {list(mine.columns)} vs {list(theirs.columns)}", len(mine)
     if len(mine) != len(theirs):
