@@ -6,15 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.llm import exact_dedup, mixing, packing, ring_shards, simhash
+from shelfcast.llm import exact_dedup, langid, mixing, packing, ring_shards, simhash
 from shelfcast.llm.common import documents
 
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return langid.identified(docs, langid.train(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": lambda spark, sf_dir: exact_dedup.exact_duplicates(documents(spark, sf_dir)),
     "op3_ring_shards": lambda spark, sf_dir: ring_shards.shard_rows(documents(spark, sf_dir)),
     "op4_simhash": lambda spark, sf_dir: simhash.near_duplicates(documents(spark, sf_dir)),
     "op5_mixing": lambda spark, sf_dir: mixing.mix(documents(spark, sf_dir)).drop("copies"),
     "op8_packing": lambda spark, sf_dir: packing.packed(documents(spark, sf_dir)),
+    "op9_language_id": op9_language_id,
 }
 
 ORACLES: dict[str, str] = {
