@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.llm import exact_dedup, langid, mixing, packing, ring_shards, simhash
+from shelfcast.llm import exact_dedup, langid, mixing, packing, ring_shards, simhash, syncmers
 from shelfcast.llm.common import documents
 
 
@@ -16,6 +16,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_syncmers": lambda spark, sf_dir: syncmers.fingerprints(documents(spark, sf_dir)),
     "op2_exact_dedup": lambda spark, sf_dir: exact_dedup.exact_duplicates(documents(spark, sf_dir)),
     "op3_ring_shards": lambda spark, sf_dir: ring_shards.shard_rows(documents(spark, sf_dir)),
     "op4_simhash": lambda spark, sf_dir: simhash.near_duplicates(documents(spark, sf_dir)),
