@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.llm import exact_dedup, langid, licenses, mixing, packing, ring_shards, simhash, syncmers
+from shelfcast.llm import exact_dedup, langid, licenses, mixing, packing, pii, ring_shards, simhash, syncmers
 from shelfcast.llm.common import documents
 
 
@@ -24,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_licenses": lambda spark, sf_dir: licenses.scan_licences(documents(spark, sf_dir)),
     "op8_packing": lambda spark, sf_dir: packing.packed(documents(spark, sf_dir)),
     "op9_language_id": op9_language_id,
+    "op10_pii": lambda spark, sf_dir: pii.personal_data(documents(spark, sf_dir)),
 }
 
 ORACLES: dict[str, str] = {
