@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.llm import exact_dedup, langid, licenses, mixing, packing, pii, ring_shards, simhash, syncmers
+from shelfcast.llm import exact_dedup, langid, licenses, mixing, packing, pii, ring_shards, simhash, suffix_dedup, syncmers
 from shelfcast.llm.common import documents
 
 
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ring_shards": lambda spark, sf_dir: ring_shards.shard_rows(documents(spark, sf_dir)),
     "op4_simhash": lambda spark, sf_dir: simhash.near_duplicates(documents(spark, sf_dir)),
     "op5_mixing": lambda spark, sf_dir: mixing.mix(documents(spark, sf_dir)).drop("copies"),
+    "op6_suffix_dedup": lambda spark, sf_dir: suffix_dedup.remove_repeats(documents(spark, sf_dir)),
     "op7_licenses": lambda spark, sf_dir: licenses.scan_licences(documents(spark, sf_dir)),
     "op8_packing": lambda spark, sf_dir: packing.packed(documents(spark, sf_dir)),
     "op9_language_id": op9_language_id,
