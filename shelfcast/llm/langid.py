@@ -37,6 +37,8 @@ PER_LANGUAGE = 500
 BUCKETS = 1 << 14
 WIDTH = 16
 LOSS = 0.002
+# A small sample is gone over more often.
+LEAST_STEPS = 8000
 # Bytes hashed at a time, so that memory does not follow the longest text.
 CHUNK = 1 << 20
 LETTERS = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
@@ -105,6 +107,7 @@ def fit(
     weight, bias = random.normal(0, 0.3, (WIDTH, len(languages))), np.zeros(len(languages))
     held = [i for i in range(len(samples)) if i % 5 == 4] if len(samples) >= 50 else []
     train = np.setdiff1d(np.arange(len(samples)), held)
+    epochs = max(epochs, -(-LEAST_STEPS // max(1, len(train))))
     step, steps = 0, max(1, epochs * len(train))
     for _ in range(epochs):
         for i in random.permutation(train):
