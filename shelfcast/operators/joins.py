@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from shelfcast.functions.numeric import hashed_uniform
-from shelfcast.session import broadcast_if_small
+from shelfcast.session import measured
 
 
 def with_calendar(grid: DataFrame, calendar: DataFrame, how: str = "inner") -> DataFrame:
@@ -47,8 +47,8 @@ def with_price_history(grid: DataFrame, prices: DataFrame, key: str = "id") -> D
 
 
 def with_rate(grid: DataFrame, rates: DataFrame) -> DataFrame:
-    """Growth rate of the row's department and store; a small table is broadcast after a check."""
-    return grid.join(broadcast_if_small(rates), ["dept_id", "store_id"], "left")
+    """Growth rate of the row's department and store."""
+    return grid.join(measured(rates), ["dept_id", "store_id"], "left")
 
 
 def join_models(forecasts: dict[str, DataFrame], keys: Sequence[str] = ("id", "h")) -> DataFrame:

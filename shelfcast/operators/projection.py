@@ -91,12 +91,9 @@ def encode_categories(df: DataFrame, dictionary: DataFrame, attributes: Sequence
     return df
 
 
-def bounded_values(df: DataFrame, column: str, limit: int = 1000) -> list:
-    """The distinct values of a small attribute; refuses one with more than ``limit``."""
-    rows = df.select(column).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} distinct values")
-    return sorted(r[0] for r in rows if r[0] is not None)
+def distinct_values(df: DataFrame, column: str) -> list:
+    """The distinct values of an attribute that is to become columns, in order."""
+    return sorted(r[0] for r in df.select(column).distinct().collect() if r[0] is not None)
 
 
 def one_hot(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:

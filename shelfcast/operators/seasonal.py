@@ -69,7 +69,8 @@ def fit_predict(days: pd.DataFrame, params: dict, train_last: int) -> np.ndarray
     penalty = np.diag(0.1 / scales**2)
     weights = np.linalg.solve(a.T @ a + penalty, a.T @ (target / unit))
     predicted = x @ weights * unit
-    predicted = np.expm1(np.minimum(predicted, np.log1p(2 * max(y.max(), 1.0)))) if multiplicative else predicted
+    # a logarithm above 700 has no double; nothing smaller is cut
+    predicted = np.expm1(np.minimum(predicted, 700.0)) if multiplicative else predicted
     return np.maximum(np.rint(predicted), 0.0)
 
 

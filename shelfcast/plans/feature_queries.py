@@ -45,42 +45,42 @@ ROUND_ROLLED = ", ".join(f"round({c}, 6) AS {c}" for c in ROLLED)
 
 # --- the grid and its features -----------------------------------------------
 
-@query("grid", with_panel("brand") + """
+@query("grid", with_panel("part") + """
 SELECT id, d, date, sales, wm_yr_wk, event_name_1, snap_A, snap_B, round(sell_price, 6) AS sell_price, round(rate, 6) AS rate FROM grid""")
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales, calendar, prices and growth rate per item, store and day, with a masked horizon."""
-    return panel_grid(spark, sf_dir).select(
+    return panel_grid(spark, sf_dir, "part").select(
         "id", "d", "date", "sales", "wm_yr_wk", "event_name_1", "snap_A", "snap_B", r6("sell_price"), r6("rate")
     )
 
 
-@query("features", with_panel("brand", features_sql("grid", "id")) + f"""
+@query("features", with_panel("part", features_sql("grid", "id")) + f"""
 SELECT id, d, sales, lag_7, lag_28, {ROUND_ROLLED}, wday, CAST(weekofyear(date) AS SMALLINT) AS week, month,
        CAST(quarter(date) AS SMALLINT) AS quarter, year, CAST(day(date) AS SMALLINT) AS mday FROM feats""")
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lags, rolling means and calendar parts of the grid; the calendar's own columns are kept."""
-    table = panel_features(spark, sf_dir)
+    table = panel_features(spark, sf_dir, "part")
     return table.select(
         "id", "d", "sales", "lag_7", "lag_28", *[r6(c) for c in ROLLED],
         "wday", "week", "month", "quarter", "year", "mday",
     )
 
 
-def panel_features(spark: SparkSession, sf_dir: str, mask: bool = True) -> DataFrame:
-    base = panel_grid(spark, sf_dir, mask=mask)
+def panel_features(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFrame:
+    base = panel_grid(spark, sf_dir, grain)
     parts = [c.alias(name) for name, c in date_parts("date").items() if name not in base.columns]
     return series_features(base.select("*", *parts), ["id"])
 
 
-@query("lags", with_panel("brand", features_sql("grid", "id")) + "SELECT id, d, lag_7, lag_28 FROM feats")
+@query("lags", with_panel("part", features_sql("grid", "id")) + "SELECT id, d, lag_7, lag_28 FROM feats")
 def lags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = panel_grid(spark, sf_dir, rate=False)
+    base = panel_grid(spark, sf_dir, "part", rate=False)
     return base.select("id", "d", *[c.alias(n) for n, c in lag_columns(["id"], "d", "sales").items()])
 
 
-@query("rolling_means", with_panel("brand", features_sql("grid", "id")) + f"SELECT id, d, {ROUND_ROLLED} FROM feats")
+@query("rolling_means", with_panel("part", features_sql("grid", "id")) + f"SELECT id, d, {ROUND_ROLLED} FROM feats")
 def rolling_means(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = panel_grid(spark, sf_dir, rate=False)
+    base = panel_grid(spark, sf_dir, "part", rate=False)
     return base.select("id", "d", *[r6(c, n) for n, c in rolling_columns(["id"], "d", "sales").items()])
 
 
@@ -113,7 +113,7 @@ store_dept AS (
 
 def store_dept_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily totals with snap, top price and day of month; no target in the horizon."""
-    grid = panel_grid(spark, sf_dir, mask=False, rate=False)
+    grid = panel_grid(spark, sf_dir, rate=False)
     snap = pick_by_group("state_id", {"A": "snap_A"}, "snap_B").cast("int")
     series = store_dept_series(grid.withColumn("snap", snap))
     return series.withColumn("y", mask_from("y", "d", panel_horizon(spark, sf_dir).train_last + 1))
@@ -202,9 +202,9 @@ def last_n_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last_days(panel_sales(spark, sf_dir).select("id", "d", "sales"), 365)
 
 
-@query("age", with_panel("brand") + "SELECT id, d, row_number() OVER (PARTITION BY id ORDER BY d) AS age FROM grid")
+@query("age", with_panel("part") + "SELECT id, d, row_number() OVER (PARTITION BY id ORDER BY d) AS age FROM grid")
 def series_age(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panel_grid(spark, sf_dir, rate=False).select("id", "d", age("id", "d").alias("age"))
+    return panel_grid(spark, sf_dir, "part", rate=False).select("id", "d", age("id", "d").alias("age"))
 
 
 @query("recency_weight", with_panel("part") + """
@@ -317,20 +317,37 @@ def fourier_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.select("store_id", "dept_id", "d", *[r6(c) for c in wide.columns[3:]])
 
 
-@query("parse_params", with_panel("part") + """
-SELECT store_id, dept_id, CASE WHEN n % 2 = 0 THEN 'additive' ELSE 'multiplicative' END AS seasonality_mode,
-       CAST(n % 20 + 1 AS INTEGER) AS yearly_order, CAST(top % 7 + 1 AS INTEGER) AS weekly_order, top / 100.0 AS yearly_prior_scale
+# Every tuned field, computed from the size and the top of a series: (name, SQL type, expression that both engines read).
+PARAM_FIELDS = [
+    ("changepoint_range", "DOUBLE", "(70 + n % 31) / 100.0"),
+    ("changepoint_prior_scale", "DOUBLE", "(top % 100 + 1) / 1000.0"),
+    ("holidays_prior_scale", "DOUBLE", "(n % 200 + 1) / 10.0"),
+    ("seasonality_mode", "VARCHAR", "CASE WHEN n % 2 = 0 THEN 'additive' ELSE 'multiplicative' END"),
+    ("yearly_order", "INTEGER", "n % 20 + 1"),
+    ("monthly_order", "INTEGER", "n % 5 + 1"),
+    ("weekly_order", "INTEGER", "top % 7 + 1"),
+    ("yearly_prior_scale", "DOUBLE", "top / 100.0"),
+    ("monthly_prior_scale", "DOUBLE", "(top % 13 + 1) / 10.0"),
+    ("weekly_prior_scale", "DOUBLE", "(n % 17 + 1) / 10.0"),
+    ("snap_mode", "VARCHAR", "CASE WHEN n % 3 = 0 THEN 'additive' ELSE 'multiplicative' END"),
+    ("price_mode", "VARCHAR", "CASE WHEN n % 5 < 2 THEN 'additive' ELSE 'multiplicative' END"),
+    ("dom_mode", "VARCHAR", "CASE WHEN top % 2 = 0 THEN 'additive' ELSE 'multiplicative' END"),
+]
+
+
+@query("parse_params", with_panel("part") + "SELECT store_id, dept_id, "
+       + ", ".join(f"CAST({e} AS {t}) AS {c}" for c, t, e in PARAM_FIELDS) + """
 FROM (SELECT store_id, dept_id, count(*) AS n, CAST(max(sales) AS BIGINT) AS top FROM sales GROUP BY ALL)""")
 def parse_params(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parameters kept as a dict literal, parsed by schema (the text is never evaluated)."""
+    """Parameters kept as a dict literal with all fields, parsed by schema (the text is never evaluated)."""
     sizes = panel_sales(spark, sf_dir).groupBy("store_id", "dept_id").agg(
         F.count(F.lit(1)).alias("n"), F.max("sales").cast("bigint").alias("top")
     )
-    literal = F.format_string(
-        "{'seasonality_mode': '%s', 'yearly_order': %d, 'weekly_order': %d, 'yearly_prior_scale': %s}",
-        F.when(F.col("n") % 2 == 0, "additive").otherwise("multiplicative"),
-        F.col("n") % 20 + 1, F.col("top") % 7 + 1, (F.col("top") / 100.0).cast("string"),
-    )
+    entries = [
+        F.concat(F.lit(f"'{c}': "), F.concat(F.lit("'"), F.expr(e), F.lit("'")) if t == "VARCHAR" else F.expr(e).cast("string"))
+        for c, t, e in PARAM_FIELDS
+    ]
+    literal = F.concat(F.lit("{"), F.array_join(F.array(*entries), ", "), F.lit("}"))
     parsed = F.from_json(literal, SEASONAL_PARAMS, {"allowSingleQuotes": "true"})
     rows = sizes.select("store_id", "dept_id", parsed.alias("p"))
-    return rows.select("store_id", "dept_id", "p.seasonality_mode", "p.yearly_order", "p.weekly_order", "p.yearly_prior_scale")
+    return rows.select("store_id", "dept_id", *[f"p.{c}" for c, _, _ in PARAM_FIELDS])

@@ -14,7 +14,7 @@ from shelfcast.operators.joins import (
 )
 from shelfcast.operators.ordering import order_like, ranged_index
 from shelfcast.operators.projection import (
-    CATEGORICAL, bounded_values, cast_features, category_dictionary, encode_categories, feature_columns,
+    CATEGORICAL, distinct_values, cast_features, category_dictionary, encode_categories, feature_columns,
     mask_from, one_hot, pick_by_group, rename_steps, temporal_split, tight_types, trailing_slice,
 )
 from shelfcast.operators.reshape import (
@@ -45,7 +45,7 @@ PRICE_SCHEMA = T.StructType([
 SELECT store_id, item_id, wm_yr_wk, round(sell_price, 6) AS sell_price FROM prices""")
 def scan_csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices written to CSV and scanned back with an explicit schema."""
-    path = write_csv(panel_prices(panel_sales(spark, sf_dir)), scratch_path(spark, "prices"))
+    path = write_csv(panel_prices(panel_sales(spark, sf_dir), panel_horizon(spark, sf_dir)), scratch_path(spark, "prices"))
     return read_csv(spark, path, PRICE_SCHEMA).select("store_id", "item_id", "wm_yr_wk", r6("sell_price"))
 
 
@@ -217,7 +217,7 @@ LEFT JOIN (SELECT store_id, item_id, wm_yr_wk + 1 AS wm_yr_wk, round(sell_price,
 def fill_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last week's price, and events, with missing values filled."""
     sales = panel_sales(spark, sf_dir)
-    last_week = panel_prices(sales).select("store_id", "item_id", (F.col("wm_yr_wk") + 1).alias("wm_yr_wk"), r6("sell_price"))
+    last_week = panel_prices(sales, panel_horizon(spark, sf_dir)).select("store_id", "item_id", (F.col("wm_yr_wk") + 1).alias("wm_yr_wk"), r6("sell_price"))
     joined = with_calendar(sales, panel_calendar(spark, sf_dir)).join(last_week, ["store_id", "item_id", "wm_yr_wk"], "left")
     filled = joined.na.fill({"event_name_1": "None", "event_type_1": "None", "event_name_2": "nothing", "sell_price": 0.0})
     return filled.select("id", "d", "event_name_1", "event_type_1", "event_name_2", "sell_price")
@@ -262,8 +262,8 @@ def decode_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
        + " FROM sales")
 def one_hot_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = panel_sales(spark, sf_dir).select("id", "d", "sales", "cat_id", "store_id")
-    stores = bounded_values(table(spark, sf_dir, "region"), "r_name")
-    return one_hot(one_hot(sales, "cat_id", ["BULK", "REGULAR", "VALUE"]), "store_id", stores)
+    stores = distinct_values(table(spark, sf_dir, "region"), "r_name")
+    return one_hot(one_hot(sales, "cat_id", distinct_values(sales, "cat_id")), "store_id", stores)
 
 
 @query("tight_types", with_panel("part") + """
@@ -331,7 +331,8 @@ def day_item_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     dense = panel_dense(panel_sales(spark, sf_dir, "brand"), panel_horizon(spark, sf_dir))
     mean = rolling_columns(["id"], "d", "sales", [28], [28])["rmean_28_28"]
     rolled = dense.select("store_id", "dept_id", "d", F.split("item_id", "_")[1].alias("brand"), "sales", mean.alias("rmean_28_28"))
-    matrix = item_matrix(rolled, ["store_id", "dept_id", "d"], "brand", BRANDS, ["rmean_28_28", "sales"])
+    brands = sorted(distinct_values(table(spark, sf_dir, "part"), "p_brand"), key=lambda b: (len(b), b))
+    matrix = item_matrix(rolled, ["store_id", "dept_id", "d"], "brand", brands, ["rmean_28_28", "sales"])
     return matrix.select("store_id", "dept_id", "d", *[r6(c) for c in matrix.columns[3:]])
 
 
@@ -379,8 +380,8 @@ def join_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _dense_weeks(spark: SparkSession, sf_dir: str):
     sales = panel_sales(spark, sf_dir, "brand")
-    dense = panel_dense(sales, panel_horizon(spark, sf_dir)).withColumn("wm_yr_wk", week_of())
-    return dense, panel_prices(sales)
+    horizon = panel_horizon(spark, sf_dir)
+    return panel_dense(sales, horizon).withColumn("wm_yr_wk", week_of()), panel_prices(sales, horizon)
 
 
 JOIN_PRICES_SQL = with_panel("brand") + """
@@ -428,13 +429,15 @@ def update_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return update_join(base, recent.select("id", (F.col("d") - end + 28).alias("h"), F.col("sales").alias("yhat")), ["id", "h"], "yhat")
 
 
-@query("order_like_sample", with_panel("part") + """
-SELECT id, snaive7 AS "F1", CAST(row_number() OVER (ORDER BY id DESC) - 1 AS BIGINT) AS "order" FROM base WHERE h = 1""")
+@query("order_like_sample", with_panel("part") + f"""
+SELECT id, CAST(row_number() OVER (ORDER BY id DESC) - 1 AS BIGINT) AS "order", {F28.replace('THEN v', 'THEN snaive7')}
+FROM base GROUP BY id""")
 def ordered_like_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First-day forecasts in the row order of a sample file."""
+    """All steps of a forecast file in the row order of a sample file."""
     sample = ranged_index(panel_sales(spark, sf_dir).select("id").distinct(), [F.col("id").desc()], name="order")
-    first = baseline_forecasts(spark, sf_dir).filter("h = 1").select("id", F.col("snaive7").alias("F1"))
-    return order_like(first, sample)
+    wide = pivot_steps(baseline_forecasts(spark, sf_dir), ["id"], "snaive7")
+    ordered = order_like(wide, sample)
+    return ordered.select("id", "order", *[r6(f"F{i}") for i in range(1, 29)])
 
 
 UNIFORM = "CAST('0x' || substr(md5({}), 1, 8) AS BIGINT) / 4294967296.0"

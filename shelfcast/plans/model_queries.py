@@ -32,10 +32,13 @@ SMALL = ["dept_id", "store_id", "wday", "month"]
 
 # --- recursion ---------------------------------------------------------------
 
-@query("recursive_seasonal", with_panel("part") + """
-SELECT d.store_id, d.dept_id, CAST(h AS INTEGER) AS h, round(power(rate, ceil(h / 7.0)) * d.sales, 6) AS yhat
-FROM steps CROSS JOIN bounds JOIN dept d ON d.d = t + h - 7 * ceil(h / 7.0)
-JOIN rates r ON r.dept_id = d.dept_id AND r.store_id = d.store_id""")
+@query("recursive_seasonal", with_panel("part", """
+week AS MATERIALIZED (SELECT store_id, dept_id, CAST(d - t AS INTEGER) AS day, sales FROM dept, bounds WHERE d BETWEEN t - 6 AND t),
+rated AS MATERIALIZED (SELECT * FROM rates),
+ahead AS MATERIALIZED (SELECT h, CAST(ceil(h / 7.0) AS INTEGER) AS weeks, CAST(h - 7 * ceil(h / 7.0) AS INTEGER) AS day FROM steps)""") + """
+SELECT w.store_id, w.dept_id, h, round(power(rate, weeks) * sales, 6) AS yhat
+FROM ahead a JOIN week w ON w.day = a.day
+JOIN rated r ON r.dept_id = w.dept_id AND r.store_id = w.store_id""")
 def recursive_seasonal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekly repetition with growth, per store and department."""
     horizon = panel_horizon(spark, sf_dir)

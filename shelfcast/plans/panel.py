@@ -14,7 +14,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfcast.horizon import STEPS, Horizon
-from shelfcast.operators.joins import with_calendar, with_price_history, with_rate
+from shelfcast.operators.joins import with_calendar, with_rate
 from shelfcast.operators.reshape import fill_days
 from shelfcast.operators.windows import growth_rates
 
@@ -147,11 +147,15 @@ def week_of(day: str = "d") -> Column:
     return F.floor(F.col(day) / 7).cast("int")
 
 
-def panel_prices(sales: DataFrame) -> DataFrame:
-    """Average unit price in whole cents by store, item and week; weeks without sales have no price."""
-    return sales.groupBy("store_id", "item_id", week_of().alias("wm_yr_wk")).agg(
-        (F.floor(F.sum("cents") / F.sum("sales")) / 100).alias("sell_price")
-    )
+def unit_price() -> Column:
+    """Average unit price in whole cents."""
+    return F.floor(F.sum("cents") / F.sum("sales")) / 100
+
+
+def panel_prices(sales: DataFrame, horizon: Horizon) -> DataFrame:
+    """Price by store, item and week, from the days before the horizon; weeks without sales have none."""
+    history = sales.filter(F.col("d") <= horizon.train_last)
+    return history.groupBy("store_id", "item_id", week_of().alias("wm_yr_wk")).agg(unit_price().alias("sell_price"))
 
 
 def dept_days(sales: DataFrame, last: int) -> DataFrame:
@@ -166,17 +170,36 @@ def panel_rates(sales: DataFrame, horizon: Horizon) -> DataFrame:
     return growth_rates(dept_days(history, horizon.train_last), horizon.train_last)
 
 
-def panel_grid(spark: SparkSession, sf_dir: str, grain: str = "brand", mask: bool = True, rate: bool = True) -> DataFrame:
+def panel_grid(spark: SparkSession, sf_dir: str, grain: str = "brand", rate: bool = True) -> DataFrame:
     """Item x store x day grid: sales, calendar, prices and growth rate.
 
-    Days of the horizon are present with their prices but, when ``mask``ed,
-    without sales.  Only days in priced weeks survive.
+    A series has the seven days of each week in which it has a price, and all
+    days of the horizon, at its last price and without sales.  Nothing of the
+    horizon's sales is used.  Days come from the priced weeks, so the grid grows
+    with the sales rows and not with items times days; each series' weeks meet
+    once, and windows over the series reuse that partitioning.
     """
     horizon = panel_horizon(spark, sf_dir)
     sales = panel_sales(spark, sf_dir, grain)
-    dense = with_calendar(panel_dense(sales, horizon, mask), panel_calendar(spark, sf_dir))
-    prices = panel_prices(sales).withColumn("id", F.concat_ws("_", "item_id", "store_id"))
-    grid = with_price_history(dense, prices)
+    end = horizon.train_last
+    weekly = sales.filter(F.col("d") <= end).groupBy(*KEYS, week_of().alias("week")).agg(
+        unit_price().alias("price"), F.collect_list(F.struct("d", "sales")).alias("sold")
+    )
+    series = weekly.groupBy("id").agg(
+        *[F.first(k).alias(k) for k in KEYS[1:]], F.collect_list(F.struct("week", "price", "sold")).alias("weeks")
+    )
+
+    def days_of(w: Column) -> Column:
+        days = F.sequence(F.greatest(w["week"] * 7, F.lit(1)), F.least(w["week"] * 7 + 6, F.lit(end)))
+        sold = lambda d: F.get(F.filter(w["sold"], lambda s: s["d"] == d), F.lit(0))["sales"]
+        return F.transform(days, lambda d: F.struct(
+            d.alias("d"), F.coalesce(sold(d), F.lit(0.0)).alias("sales"), w["price"].alias("sell_price")))
+
+    last_price = F.array_max(F.transform("weeks", lambda w: F.struct(w["week"], w["price"])))["price"]
+    ahead = F.transform(F.sequence(F.lit(end + 1), F.lit(horizon.last)), lambda d: F.struct(
+        d.alias("d"), F.lit(None).cast("double").alias("sales"), last_price.alias("sell_price")))
+    rows = series.select(*KEYS, F.explode(F.concat(F.flatten(F.transform("weeks", days_of)), ahead)).alias("day"))
+    grid = with_calendar(rows.select(*KEYS, "day.*"), panel_calendar(spark, sf_dir))
     return with_rate(grid, panel_rates(sales, horizon)) if rate else grid
 
 

@@ -45,7 +45,16 @@ cal AS (
   FROM days),
 prices AS (
   SELECT store_id, item_id, CAST(floor(d / 7) AS INTEGER) AS wm_yr_wk, floor(sum(cents) / sum(sales)) / 100 AS sell_price
-  FROM sales GROUP BY ALL),
+  FROM sales WHERE d <= (SELECT t FROM bounds) GROUP BY ALL),
+steps AS (SELECT CAST(unnest(generate_series(1, 28)) AS INTEGER) AS h),
+priced AS (
+  SELECT store_id, item_id, d, sell_price
+  FROM (SELECT *, CAST(unnest(generate_series(wm_yr_wk * 7, wm_yr_wk * 7 + 6)) AS INTEGER) AS d FROM prices)
+  WHERE d BETWEEN 1 AND (SELECT t FROM bounds)
+  UNION ALL
+  SELECT store_id, item_id, t + h, sell_price
+  FROM (SELECT store_id, item_id, arg_max(sell_price, wm_yr_wk) AS sell_price FROM prices GROUP BY ALL)
+  CROSS JOIN steps CROSS JOIN bounds),
 dense AS (
   SELECT i.*, c.d, coalesce(s.sales, 0.0) AS sales
   FROM ids i CROSS JOIN days c LEFT JOIN sales s ON s.id = i.id AND s.d = c.d),
@@ -63,11 +72,12 @@ rates AS (
   WHERE d > (SELECT t FROM bounds) - 365 AND abs(change) < 1
   GROUP BY ALL),
 grid AS (
-  SELECT m.*, c.* EXCLUDE (d), p.sell_price, r.rate
-  FROM masked m JOIN cal c ON c.d = m.d
-  JOIN prices p ON p.store_id = m.store_id AND p.item_id = m.item_id AND p.wm_yr_wk = c.wm_yr_wk
-  LEFT JOIN rates r ON r.dept_id = m.dept_id AND r.store_id = m.store_id),
-steps AS (SELECT CAST(unnest(generate_series(1, 28)) AS INTEGER) AS h),
+  SELECT i.*, p.d, CASE WHEN p.d <= (SELECT t FROM bounds) THEN coalesce(s.sales, 0.0) END AS sales,
+         c.* EXCLUDE (d), p.sell_price, r.rate
+  FROM priced p JOIN ids i ON i.store_id = p.store_id AND i.item_id = p.item_id
+  JOIN cal c ON c.d = p.d
+  LEFT JOIN sales s ON s.id = i.id AND s.d = p.d
+  LEFT JOIN rates r ON r.dept_id = i.dept_id AND r.store_id = i.store_id),
 tails AS (SELECT id, sum(sales) / 28 AS mean28 FROM sales
           WHERE d BETWEEN (SELECT t - 27 FROM bounds) AND (SELECT t FROM bounds) GROUP BY id),
 base AS (

@@ -82,7 +82,7 @@ def _history(spark: SparkSession, sf_dir: str):
     horizon = panel_horizon(spark, sf_dir)
     sales = panel_sales(spark, sf_dir)
     history = sales.filter(F.col("d") <= horizon.train_last)
-    earned = revenue(sales.withColumn("wm_yr_wk", week_of()), panel_prices(sales), horizon.train_last)
+    earned = revenue(sales.withColumn("wm_yr_wk", week_of()), panel_prices(sales, horizon), horizon.train_last)
     return horizon, history, earned
 
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = 8, app: str = "shelfcast") -> SparkSession:
@@ -53,16 +53,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-# Rows of a side that may be broadcast; a row here is a few short columns.
-BROADCAST_ROWS = 500_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a derived side for broadcast after counting it; a larger one is left to a shuffle join.
+def measured(df: DataFrame) -> DataFrame:
+    """A derived side as a written table, so that the planner knows its bytes.
 
     Spark cannot estimate the size of a side that is itself an aggregate of
-    large tables, and would shuffle the other side first.  The side is
-    materialised, so counting it does not compute it twice.
+    large tables, and would shuffle the other side.  A stored one is broadcast
+    below Spark's own threshold and joined by shuffle above it.
     """
-    kept = cut_lineage(df)
-    return F.broadcast(kept) if kept.count() <= max_rows else kept
+    path = scratch_path(df.sparkSession, "side")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
