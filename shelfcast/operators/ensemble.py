@@ -57,16 +57,3 @@ def stack_apply(df: DataFrame, weights: DataFrame, group: Sequence[str], models:
     joined = df.join(weights, list(group))
     mixed = [F.col("w")[i] * F.col(m) for i, m in enumerate(models)]
     return joined.withColumn("ensemble", clip_zero(sum(mixed[1:], mixed[0]))).drop("w")
-
-
-def candidate_blends(df: DataFrame, candidates: Sequence[Mapping[str, float]]) -> DataFrame:
-    """Each row under every candidate's coefficients, as model ``blend_<i>``.
-
-    The candidates are a literal array, so this is an explode in the map side
-    of whatever follows.
-    """
-    options = F.array(*[
-        F.struct(F.lit(f"blend_{i}").alias("model"), blend(c).alias("yhat")) for i, c in enumerate(candidates)
-    ])
-    kept = [c for c in df.columns if c not in {m for c in candidates for m in c}]
-    return df.select(*kept, F.explode(options).alias("_c")).select(*kept, "_c.model", "_c.yhat")

@@ -7,7 +7,9 @@ non-zero days alone.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import operator
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -98,6 +100,42 @@ def weighted_scores(
     return scored.groupBy(*by, "level").agg(F.sum(F.col("weight") * score).alias("score"))
 
 
+def blended_scores(
+    train: DataFrame,
+    errors: DataFrame,
+    models: Sequence[str],
+    candidates: Mapping[str, Mapping[str, float]],
+    revenues: DataFrame,
+    train_last: int,
+    steps: int = 28,
+) -> DataFrame:
+    """Score ``(model, level, score)`` of every candidate blend of ``models``, whose weights add up to 1.
+
+    ``errors`` has one error column per model.  The error of a blend is the same
+    blend of errors, so its mean square is a quadratic form in the sums of
+    products of the models' level errors: one roll-up of the model columns
+    serves any number of candidates, and item rows are never repeated.
+    """
+    levels = ["level", "key"]
+    missed = errors.filter(reduce(operator.or_, [F.col(m) != 0 for m in models], F.col("h") == 1))
+    rolled = rollup_levels(missed, list(models), ["h"])
+    pairs = [(a, b) for i, a in enumerate(models) for b in models[i:]]
+    gram = rolled.groupBy(*levels).agg(*[F.sum(F.col(a) * F.col(b)).alias(f"{a}*{b}") for a, b in pairs])
+    scale = naive_scale(rollup_levels(train), levels, train_last)
+    weighted = gram.join(scale, levels).join(revenue_weights(revenues), levels)
+
+    def score(weights: Mapping[str, float]) -> Column:
+        terms = [
+            F.col(f"`{a}*{b}`") * F.lit((1.0 if a == b else 2.0) * weights.get(a, 0.0) * weights.get(b, 0.0)) for a, b in pairs
+        ]
+        return F.sum(F.col("weight") * F.sqrt(F.greatest(reduce(operator.add, terms), F.lit(0.0)) / steps / F.col("scale")))
+
+    # one column per candidate: what is aggregated stays one row per series
+    names = list(candidates)
+    wide = weighted.groupBy("level").agg(*[score(candidates[n]).alias(n) for n in names])
+    return wide.unpivot(["level"], names, "model", "score")
+
+
 def overall_score(level_scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return level_scores.groupBy(*by).agg(F.avg("score").alias("wrmsse"))
 

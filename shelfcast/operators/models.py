@@ -11,8 +11,8 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfcast.operators.recursion import Predictor
 
@@ -150,24 +150,25 @@ def softmax_share_model(
 
 def tune(
     rows: DataFrame, estimator, grid: Mapping[str, Sequence], numeric: Sequence[str], categorical: Sequence[str] = (),
-    label: str = "sales", parallelism: int = 4, seed: int = 1,
+    label: str = "sales", *, held: Column,
 ):
-    """Try a parameter grid on a held-out quarter; returns the fitted tuner and ``(params, rmse)`` of each."""
+    """Fit every setting of a grid on the rows not ``held``, and measure it on those; returns the best model and ``(params, rmse)`` of each.
+
+    Holding out whole days keeps neighbouring days, whose lags overlap, on one side.
+    """
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(estimator.getParam(name), list(values))
     combos = builder.build()
-    complete = rows.select(*dict.fromkeys([*numeric, *categorical, label])).na.drop("any")
-    prepared = Pipeline(stages=feature_stages(numeric, categorical))
+    complete = rows.select(*dict.fromkeys([*numeric, *categorical, label]), held.alias("_held")).na.drop("any")
     with kept(complete) as stored:
-        features = prepared.fit(stored).transform(stored).select("features", label)
-        split = TrainValidationSplit(
-            estimator=estimator, estimatorParamMaps=combos, evaluator=RegressionEvaluator(labelCol=label),
-            trainRatio=0.75, parallelism=parallelism, seed=seed,
-        )
-        fitted = split.fit(features)
+        prepared = Pipeline(stages=feature_stages(numeric, categorical)).fit(stored.filter(~F.col("_held")))
+        features = prepared.transform(stored).select("features", label, "_held")
+        fitted = [model for _, model in sorted(estimator.fitMultiple(features.filter(~F.col("_held")), combos), key=lambda m: m[0])]
+        measure = RegressionEvaluator(labelCol=label)
+        errors = [measure.evaluate(model.transform(features.filter("_held"))) for model in fitted]
     described = [", ".join(f"{p.name}={v}" for p, v in sorted(c.items(), key=lambda x: x[0].name)) for c in combos]
-    return fitted, list(zip(described, fitted.validationMetrics))
+    return fitted[errors.index(min(errors))], list(zip(described, errors))
 
 
 def importances(model: PipelineModel, rows: DataFrame) -> list[tuple[str, float]]:

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 # Season lengths in days, the regressors, and the number of possible trend changes.
 PERIODS = {"yearly": 365.25, "monthly": 365.25 / 12, "weekly": 7.0}
@@ -20,17 +20,21 @@ DEFAULTS = {
     "changepoint_range": 0.8, "changepoint_prior_scale": 0.05, "holidays_prior_scale": 10.0,
     "seasonality_mode": "additive", "yearly_order": 6, "monthly_order": 3, "weekly_order": 3,
     "yearly_prior_scale": 10.0, "monthly_prior_scale": 10.0, "weekly_prior_scale": 10.0,
+    "snap_mode": "additive", "price_mode": "additive", "dom_mode": "additive",
 }
+CHUNK = 10
 
 
-def design(days: pd.DataFrame, params: dict, trained: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def design(days: pd.DataFrame, params: dict, trained: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Columns of the regression and the prior scale of each.
 
-    ``trained`` marks the rows that the trend changes and scaling may look at.
+    ``trained`` marks the rows that the trend changes, scaling and level may look at.
     """
     t = days["d"].to_numpy(float)
     t0, t1 = t[trained].min(), t[trained].max()
     u = (t - t0) / max(t1 - t0, 1.0)
+    line = np.polyval(np.polyfit(u[trained], target[trained], 1), u) if trained.sum() > 1 else np.ones_like(u)
+    level = line / max(np.abs(line[trained]).mean(), 1e-9)
     columns, scales = [np.ones_like(u), u], [1e3, 1e3]
     for change in np.linspace(0, params["changepoint_range"], CHANGEPOINTS + 1)[1:]:
         columns.append(np.maximum(u - change, 0.0))
@@ -47,7 +51,9 @@ def design(days: pd.DataFrame, params: dict, trained: np.ndarray) -> tuple[np.nd
     for name in REGRESSORS:
         x = days[name].astype(float).ffill().fillna(0.0).to_numpy()
         spread = x[trained].std()
-        columns.append((x - x[trained].mean()) / (spread if spread > 0 else 1.0))
+        x = (x - x[trained].mean()) / (spread if spread > 0 else 1.0)
+        # a multiplicative regressor acts in proportion to the level of the series
+        columns.append(x * level if params[f"{name}_mode"] == "multiplicative" else x)
         scales.append(10.0)
     return np.column_stack(columns), np.asarray(scales)
 
@@ -60,11 +66,12 @@ def fit_predict(days: pd.DataFrame, params: dict, train_last: int) -> np.ndarray
     """
     params = {**DEFAULTS, **params}
     trained = ((days["d"] <= train_last) & days["y"].notna()).to_numpy()
-    y = days["y"].to_numpy(float)[trained]
     multiplicative = params["seasonality_mode"] == "multiplicative"
-    target = np.log1p(y) if multiplicative else y
+    every = days["y"].to_numpy(float)
+    every = np.log1p(every) if multiplicative else every
+    target = every[trained]
     unit = max(np.abs(target).max(), 1e-9)
-    x, scales = design(days, params, trained)
+    x, scales = design(days, params, trained, every)
     a = x[trained]
     penalty = np.diag(0.1 / scales**2)
     weights = np.linalg.solve(a.T @ a + penalty, a.T @ (target / unit))
@@ -97,25 +104,31 @@ def score_candidates(
 ) -> DataFrame:
     """Scaled error of every candidate on the last ``steps`` days of history of each series.
 
-    All candidates are tried where the series' rows are, so the rows are
-    shuffled once and not once per candidate.
+    A series is copied once per CHUNK candidates (it has one row per day), so a
+    long search spreads over more tasks than there are series.
     """
     keys, cutoff = list(keys), train_last - steps
+    copied = series.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit((len(candidates) - 1) // CHUNK))))
 
     def run(days: pd.DataFrame) -> pd.DataFrame:
         days = days[days["d"] <= train_last].sort_values("d").reset_index(drop=True)
+        if days.empty:
+            return pd.DataFrame(columns=[*keys, "candidate", "rmsse"])
         held = (days["d"] > cutoff).to_numpy()
         before = days.loc[~held, "y"].to_numpy(float)
-        scale = np.mean(np.diff(before) ** 2)
+        scale = np.mean(np.diff(before) ** 2) if len(before) > 1 else 0.0
+        first = int(days["_chunk"].iloc[0]) * CHUNK
         rows = []
-        for i, candidate in enumerate(candidates):
-            error = days["y"].to_numpy(float)[held] - fit_predict(days, candidate, cutoff)[held]
-            score = float(np.sqrt(np.mean(error**2) / scale)) if held.any() and scale > 0 else None
+        for i, candidate in enumerate(candidates[first:first + CHUNK], first):
+            score = None
+            if held.any() and scale > 0:
+                error = days["y"].to_numpy(float)[held] - fit_predict(days, candidate, cutoff)[held]
+                score = float(np.sqrt(np.mean(error**2) / scale))
             rows.append([*days.loc[0, keys], i, score])
         return pd.DataFrame(rows, columns=[*keys, "candidate", "rmsse"])
 
     schema = _schema(series, keys, [("candidate", T.IntegerType()), ("rmsse", T.DoubleType())])
-    return series.groupBy(*keys).applyInPandas(run, schema)
+    return copied.groupBy(*keys, "_chunk").applyInPandas(run, schema)
 
 
 def random_candidates(n: int, seed: int = 0) -> list[dict]:
@@ -138,6 +151,7 @@ def random_candidates(n: int, seed: int = 0) -> list[dict]:
             "yearly_prior_scale": log_uniform(0.1, 20),
             "monthly_prior_scale": log_uniform(0.1, 20),
             "weekly_prior_scale": log_uniform(0.1, 20),
+            **{f"{name}_mode": str(rng.choice(["additive", "multiplicative"])) for name in REGRESSORS},
         }
         for _ in range(n)
     ]

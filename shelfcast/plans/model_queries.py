@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from shelfcast.operators.aggregates import share_of_total, target_means
+from shelfcast.operators.evaluation import weighted_scores
 from shelfcast.operators.models import (
     importances, poisson_model, predictor, share_model, softmax_share_model, train, tree_model, tune, tweedie_model,
 )
@@ -19,15 +20,18 @@ from shelfcast.operators.topdown import renormalise
 from shelfcast.operators.windows import growth_rates, series_features
 from shelfcast.plans.feature_queries import ROLLED, features_sql, panel_features, store_dept_table
 from shelfcast.plans.panel import (
-    SERIES_KEYS, dept_days, panel_calendar, panel_grid, panel_horizon, panel_rates, panel_sales,
+    KEYS, SERIES_KEYS, dept_days, panel_calendar, panel_grid, panel_horizon, panel_rates, panel_sales,
 )
 from shelfcast.plans.panel_sql import with_panel
 from shelfcast.plans.registry import query, r6
+from shelfcast.plans.score_queries import SCORE_SQL, score_history, scores_sql
 from shelfcast.session import cut_lineage, scratch_path
 
 LAGGED = ["lag_7", "lag_28", *ROLLED]
 NUMERIC = [*LAGGED, "sell_price", "mday", "snap_A", "snap_B"]
 SMALL = ["dept_id", "store_id", "wday", "month"]
+# What a lag or mean that reaches before the series counts as, in training and in prediction alike.
+UNKNOWN = 0.0
 
 
 # --- recursion ---------------------------------------------------------------
@@ -85,6 +89,24 @@ def recursive_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.select("id", "d", r6("sales"))
 
 
+@query("wrmsse_recursive", with_panel(
+    "brand", "kept AS MATERIALIZED (SELECT id, d, sales, rate FROM grid)", *recursion_sql("kept", "id", "s.rate"), *SCORE_SQL[:-1], """
+rerrs AS (SELECT i.*, f.d - t AS h, 'recursive' AS model, coalesce(s.sales, 0.0) - f.sales AS error
+          FROM step28 f JOIN ids i ON i.id = f.id CROSS JOIN bounds
+          LEFT JOIN sales s ON s.id = f.id AND s.d = f.d WHERE f.d > t)""", *scores_sql("rerrs")) + """
+SELECT level, round(score, 6) AS score FROM scores""")
+def wrmsse_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recursion's own forecasts against the days held out, on every level."""
+    horizon, history, earned = score_history(spark, sf_dir, "brand")
+    grid = panel_grid(spark, sf_dir).select(*KEYS, "d", "sales", "rate")
+    forecast = recursive_forecast(grid, _linear, horizon.train_last).withColumnRenamed("sales", "yhat")
+    truth = panel_sales(spark, sf_dir, "brand").filter(F.col("d") > horizon.train_last).select("id", "d", "sales")
+    errors = forecast.join(truth, ["id", "d"], "left").select(
+        *KEYS, (F.col("d") - horizon.train_last).alias("h"), (F.coalesce("sales", F.lit(0.0)) - F.col("yhat")).alias("error")
+    )
+    return weighted_scores(history, errors, earned, horizon.train_last).select("level", r6("score"))
+
+
 ALPHAS = [1.035, 1.03, 1.025]
 
 
@@ -122,10 +144,12 @@ def _calibration(scored: DataFrame, label: str) -> DataFrame:
 
 
 def _fit_volume(spark: SparkSession, sf_dir: str, estimator) -> DataFrame:
-    _, _, history = _training(spark, sf_dir)
-    history = cut_lineage(history.select("sales", "recency", *NUMERIC, *SMALL).na.drop("any"))
-    model = train(history, estimator, NUMERIC, SMALL)
-    return _calibration(model.transform(history), "sales")
+    """Fitted on all days but the last 28 of the history, which it is measured on."""
+    horizon, _, history = _training(spark, sf_dir)
+    history = cut_lineage(history.select("d", "sales", "recency", *NUMERIC, *SMALL).na.fill(UNKNOWN, subset=LAGGED))
+    cut = horizon.train_last - horizon.steps
+    model = train(history.filter(F.col("d") <= cut), estimator, NUMERIC, SMALL)
+    return _calibration(model.transform(history.filter(F.col("d") > cut)), "sales")
 
 
 @query("train_volume")
@@ -150,7 +174,7 @@ def share_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def train_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-entropy model of item shares."""
     rows, numeric = share_history(spark, sf_dir), [*LAGGED, "sell_price"]
-    model = train(rows, share_model(label="sales"), numeric, SMALL, unknown=0.0)
+    model = train(rows, share_model(label="sales"), numeric, SMALL, unknown=UNKNOWN)
     return _calibration(predictor(model, numeric=numeric)(rows), "sales")
 
 
@@ -161,14 +185,14 @@ def share_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("recursive_model")
-def recursive_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+def recursive_model(spark: SparkSession, sf_dir: str, rounds: int = 20) -> DataFrame:
     """Item-level recursion of the average of a Poisson and a tree model, times the growth rate."""
     horizon = panel_horizon(spark, sf_dir)
     grid = cut_lineage(panel_grid(spark, sf_dir).withColumn("mday", F.dayofmonth("date")))
     history = cut_lineage(
-        series_features(grid, ["id"]).filter(F.col("d") <= horizon.train_last).select("sales", *NUMERIC, *SMALL).na.drop("any")
+        series_features(grid, ["id"]).filter(F.col("d") <= horizon.train_last).select("sales", *NUMERIC, *SMALL)
     )
-    models = [train(history, estimator, NUMERIC, SMALL) for estimator in (poisson_model(), tree_model(rounds=5))]
+    models = [train(history, e, NUMERIC, SMALL, unknown=UNKNOWN) for e in (poisson_model(), tree_model(rounds=rounds))]
     forecast = recursive_forecast(grid, predictor(*models, numeric=NUMERIC), horizon.train_last)
     return forecast.select("id", "d", r6("sales"))
 
@@ -178,7 +202,7 @@ def recursive_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recursion of a share model; the shares of each new day add up to 1."""
     horizon = panel_horizon(spark, sf_dir)
     numeric = [*LAGGED, "sell_price"]
-    model = train(share_history(spark, sf_dir), share_model(label="sales"), numeric, SMALL, unknown=0.0)
+    model = train(share_history(spark, sf_dir), share_model(label="sales"), numeric, SMALL, unknown=UNKNOWN)
     grid = panel_grid(spark, sf_dir, rate=False)
     shares = share_of_total(grid, ["dept_id", "store_id", "d"], "sales", "share")
     shares = shares.drop("sales").withColumnRenamed("share", "sales")
@@ -194,7 +218,7 @@ def topdown_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = dept_days(sales, horizon.last).withColumn("sales", F.when(F.col("d") <= horizon.train_last, F.col("sales")))
     rated = cut_lineage(days.join(panel_rates(sales, horizon), SERIES_KEYS))
     history = series_features(rated, SERIES_KEYS).filter(F.col("d") <= horizon.train_last)
-    model = train(history, poisson_model(), LAGGED, SERIES_KEYS)
+    model = train(history, poisson_model(), LAGGED, SERIES_KEYS, unknown=UNKNOWN)
     forecast = recursive_forecast(rated, predictor(model, numeric=LAGGED), horizon.train_last, keys=SERIES_KEYS)
     wide = pivot_steps(forecast.withColumn("h", F.col("d") - horizon.train_last), SERIES_KEYS, "sales")
     return wide.select(*SERIES_KEYS, *[r6(c) for c in wide.columns[2:]])
@@ -233,11 +257,12 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("tune_global")
 def tune_global(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A tree model's depth and rounds chosen on held-out rows."""
+    """A tree model's depth and rounds chosen on the last 28 days."""
     horizon = panel_horizon(spark, sf_dir)
     days = dept_days(panel_sales(spark, sf_dir), horizon.train_last)
     rows = series_features(days, SERIES_KEYS)
-    _, results = tune(rows, tree_model(), {"maxDepth": [2, 4], "maxIter": [3, 6]}, LAGGED, SERIES_KEYS)
+    held = F.col("d") > horizon.train_last - horizon.steps
+    _, results = tune(rows, tree_model(), {"maxDepth": [2, 4], "maxIter": [3, 6]}, LAGGED, SERIES_KEYS, held=held)
     return spark.createDataFrame(results, "params string, rmse double")
 
 
@@ -251,6 +276,10 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- one model per series ----------------------------------------------------
 
+# Parameter sets tried per series.
+TRIALS = 100
+
+
 def _series(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = panel_calendar(spark, sf_dir).select("d", F.col("event_name_1").alias("event"))
     return store_dept_table(spark, sf_dir).join(events, "d")
@@ -271,8 +300,8 @@ def cv_rmsse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("tune_per_series")
 def tune_per_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The best of twelve parameter sets for every series."""
-    scored = score_candidates(_series(spark, sf_dir), random_candidates(12, seed=3), panel_horizon(spark, sf_dir).train_last)
+    """The best of a hundred parameter sets for every series."""
+    scored = score_candidates(_series(spark, sf_dir), random_candidates(TRIALS, seed=3), panel_horizon(spark, sf_dir).train_last)
     best = scored.groupBy(*SERIES_KEYS).agg(F.min(F.struct(r6("rmsse"), "candidate")).alias("b"))
     return best.select(*SERIES_KEYS, "b.candidate", "b.rmsse")
 
@@ -282,7 +311,7 @@ def seasonal_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every series tuned, then forecast with its own parameters, one column per step."""
     horizon = panel_horizon(spark, sf_dir)
     series = cut_lineage(_series(spark, sf_dir))
-    candidates = random_candidates(6, seed=3)
+    candidates = random_candidates(TRIALS, seed=3)
     scored = score_candidates(series, candidates, horizon.train_last)
     best = scored.groupBy(*SERIES_KEYS).agg(F.min_by("candidate", F.struct("rmsse", "candidate")).alias("candidate"))
     options = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in c.items()]) for c in candidates])

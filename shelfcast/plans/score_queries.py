@@ -9,9 +9,9 @@ from shelfcast.functions.numeric import (
 )
 from shelfcast.functions.text import with_label
 from shelfcast.operators.aggregates import share_of_total
-from shelfcast.operators.ensemble import blend, candidate_blends, stack_apply, stack_weights
+from shelfcast.operators.ensemble import blend, stack_apply, stack_weights
 from shelfcast.operators.evaluation import (
-    bootstrap_means, bootstrap_summary, naive_scale, overall_score, residual_histogram, revenue, revenue_weights,
+    blended_scores, bootstrap_means, bootstrap_summary, naive_scale, overall_score, residual_histogram, revenue, revenue_weights,
     rmse, rmsse, weighted_scores,
 )
 from shelfcast.operators.hierarchy import LEVELS, rollup_levels
@@ -78,11 +78,13 @@ def hierarchy_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup_levels(panel_sales(spark, sf_dir))
 
 
-def _history(spark: SparkSession, sf_dir: str):
+def score_history(spark: SparkSession, sf_dir: str, grain: str = "part"):
     horizon = panel_horizon(spark, sf_dir)
-    sales = panel_sales(spark, sf_dir)
+    sales = panel_sales(spark, sf_dir, grain)
     history = sales.filter(F.col("d") <= horizon.train_last)
-    earned = revenue(sales.withColumn("wm_yr_wk", week_of()), panel_prices(sales, horizon), horizon.train_last)
+    # only the weeks of the last 28 days are priced
+    recent = history.filter(week_of() >= (horizon.train_last - 27) // 7)
+    earned = revenue(recent.withColumn("wm_yr_wk", week_of()), panel_prices(recent, horizon), horizon.train_last)
     return horizon, history, earned
 
 
@@ -99,7 +101,7 @@ FROM errs28 e JOIN ids i ON i.id = e.id
 LEFT JOIN (SELECT key, nullif(scale, 0) AS scale FROM scales WHERE level = 'item_store') s ON s.key = i.item_id || '/' || i.store_id""")
 def series_rmsse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scaled error of one model for every item and store."""
-    horizon, history, _ = _history(spark, sf_dir)
+    horizon, history, _ = score_history(spark, sf_dir)
     base = baseline_forecasts(spark, sf_dir)
     errors = base.select("id", "h", (F.col("truth") - F.col("snaive28")).alias("error"))
     scored = rmsse(errors, naive_scale(history, ["id"], horizon.train_last), ["id"])
@@ -108,7 +110,7 @@ def series_rmsse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("revenue_weights", with_panel("part", *SCORE_SQL) + "SELECT level, key, round(weight, 6) AS weight FROM weights")
 def weights_by_level(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, _, earned = _history(spark, sf_dir)
+    _, _, earned = score_history(spark, sf_dir)
     return revenue_weights(earned).withColumn("weight", r6("weight"))
 
 
@@ -117,7 +119,7 @@ SELECT level, round(score, 6) AS score FROM scores WHERE model = 'snaive28'
 UNION ALL SELECT 'mean', round(avg(score), 6) FROM scores WHERE model = 'snaive28'""")
 def wrmsse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of one model on each level, and their mean."""
-    horizon, history, earned = _history(spark, sf_dir)
+    horizon, history, earned = score_history(spark, sf_dir)
     base = baseline_forecasts(spark, sf_dir)
     errors = base.select(*KEYS, "h", (F.col("truth") - F.col("snaive28")).alias("error"))
     scores = weighted_scores(history, errors, earned, horizon.train_last)
@@ -129,12 +131,29 @@ def wrmsse(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("wrmsse_models", with_panel("part", *SCORE_SQL, *scores_sql()) + """
 SELECT model, round(avg(score), 6) AS wrmsse FROM scores GROUP BY model""")
 def wrmsse_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All models scored in one job."""
-    horizon, history, earned = _history(spark, sf_dir)
-    scores = weighted_scores(history, _errors(spark, sf_dir), earned, horizon.train_last, ["model"])
+    """All models scored in one job: each is a blend of itself alone."""
+    horizon, history, earned = score_history(spark, sf_dir)
+    alone = {m: {m: 1.0} for m in BASELINES}
+    scores = blended_scores(history, _wide_errors(spark, sf_dir), BASELINES, alone, earned, horizon.train_last)
     return overall_score(scores, ["model"]).withColumn("wrmsse", r6("wrmsse"))
 
 
+@query("wrmsse_compat", with_panel("part", *SCORE_SQL, *[x.replace("weight * sqrt(mse / nullif(scale, 0))", "weight * coalesce(sqrt(mse / nullif(scale, 0)), 1.0)") for x in scores_sql()]) + """
+SELECT level, round(score, 6) AS score FROM scores WHERE model = 'snaive28'""")
+def wrmsse_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score in which a series without a scale adds its bare weight."""
+    horizon, history, earned = score_history(spark, sf_dir)
+    base = baseline_forecasts(spark, sf_dir)
+    errors = base.select(*KEYS, "h", (F.col("truth") - F.col("snaive28")).alias("error"))
+    scores = weighted_scores(history, errors, earned, horizon.train_last, compat=True)
+    return scores.select("level", r6("score"))
+
+
+def _wide_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = baseline_forecasts(spark, sf_dir)
+    return base.select(*KEYS, "h", *[(F.col("truth") - F.col(m)).alias(m) for m in BASELINES])
+
+
 CANDIDATES = [
     {"snaive7": a / 4, "snaive28": b / 4, "mean28": (4 - a - b) / 4} for a in range(5) for b in range(5 - a)
 ]
@@ -150,10 +169,10 @@ SELECT model, wrmsse FROM (SELECT model, round(avg(score), 6) AS wrmsse FROM sco
 ORDER BY wrmsse, model LIMIT 1""")
 def blend_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best of a table of blend coefficients by weighted score."""
-    horizon, history, earned = _history(spark, sf_dir)
-    blends = candidate_blends(baseline_forecasts(spark, sf_dir), CANDIDATES)
-    errors = blends.select(*KEYS, "h", "model", (F.col("truth") - F.col("yhat")).alias("error"))
-    scores = overall_score(weighted_scores(history, errors, earned, horizon.train_last, ["model"]), ["model"])
+    horizon, history, earned = score_history(spark, sf_dir)
+    blends = {f"blend_{i}": c for i, c in enumerate(CANDIDATES)}
+    by_level = blended_scores(history, _wide_errors(spark, sf_dir), BASELINES, blends, earned, horizon.train_last)
+    scores = overall_score(by_level, ["model"])
     best = scores.agg(F.min(F.struct(r6("wrmsse"), "model")).alias("b"))
     return best.select("b.model", "b.wrmsse")
 

@@ -35,7 +35,7 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
         if configured is None:
-            if not context.master.startswith("local"):
+            if not context.master.startswith("local") or context.master.startswith("local-cluster"):
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder")
             configured = tempfile.mkdtemp(prefix="shelfcast-")
         context.setCheckpointDir(configured)
