@@ -23,3 +23,14 @@ def test_entry_has_rows(spark):
 
 def test_sql_belongs_to_queries():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+UNCHECKED = sorted(set(entry.queries()) - set(entry.oracle_sql()) - {"pipeline"})
+
+
+@pytest.mark.parametrize("name", [n for n in UNCHECKED if not n.startswith("op")])
+def test_query_without_sql_gives_finite_rows(spark, small, name):
+    rows = entry.queries()[name](spark, small).toPandas()
+    assert len(rows)
+    numbers = rows.select_dtypes("number").drop(columns=["rmsse"], errors="ignore")
+    assert numbers.notna().all().all()
