@@ -54,7 +54,7 @@ def store(df: DataFrame, label: str) -> DataFrame:
     planner knows the table's bytes when it chooses a join.
     """
     spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -9,13 +9,13 @@ equal ones) marks one position, which depends on the window alone.  Consecutive
 windows with the same anchor are a run: about one per 150 bytes at 400.  Equal
 windows have equal anchors, so only runs that share an anchor can match.
 
-Texts come in batches.  A batch's array has its runs in the order of the anchors'
-prefixes (as hashes; only equality matters), equal runs counted once.  It is
-merge-scanned against every existing level for anchors that occur in both, and
-within itself; then levels of equal size merge into one of twice the size, so a
-run is rewritten a logarithmic number of times.
+Texts come in batches.  A batch's array has its anchors in the order of the prefixes
+that follow them (as hashes; only equality matters).  It is merge-scanned
+against every existing level for anchors that occur in both, and within itself;
+levels of equal size merge into one of twice the size, so an anchor is rewritten
+a logarithmic number of times.  Entries are two numbers, an anchor and its count.
 
-Shared anchors are then resolved exactly, ever finer, with one representative of
+The runs of shared anchors are then read again and resolved exactly, ever finer, with one representative of
 each distinct content: a run whose whole content repeats is repeated in full.
 The others of that anchor are cut into blocks of 16 windows (aligned at the
 anchor, compared where their common core repeats), and blocks that share a core
@@ -23,7 +23,7 @@ but not their content into single windows.  Contents are compared by 128-bit
 hashes.  Nothing is compared pair by pair, so a passage in a third of all texts
 costs no more than its runs.
 
-Texts are held once each, bucketed by digest, so that later passes join narrow
+Texts are held once each, bucketed by their hash, so that later passes join narrow
 tables to them without moving text again.
 
 Defined results: a NULL text counts as empty.  Texts below ``length`` bytes keep
@@ -35,18 +35,19 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfcast.llm.common import attach_groups, store
 from shelfcast.session import scratch_path
 
 LENGTH = 400
-BATCHES = 4
+BATCHES = 3
 BLOCK = 16
 # Window starts handled at a time, so that memory does not follow the longest text.
 CHUNK = 1 << 20
@@ -108,79 +109,93 @@ def signed(h: int) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
-def _table(columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns.values()], list(columns))
+def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
-RUNS = "digest binary, weight long, first long, starts int, anchor int, key long, content binary"
+# A text is known by two 64-bit hashes of its SHA-256: narrower in a shuffle than the digest.
+TEXT = ["t1", "t2"]
+RUNS = "t1 long, t2 long, weight long, first long, starts int, anchor int, key long, content binary"
+RUN_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+RUN_NAMES = [*TEXT, "weight", "first", "starts", "anchor", "key", "content"]
 
 
-def all_runs(texts: DataFrame, length: int) -> DataFrame:
+def key_of(data: bytes, place: int, k: int) -> int:
+    return signed(xxhash.xxh3_64_intdigest(data[place:place + k]))
+
+
+def all_anchors(texts: DataFrame, length: int) -> DataFrame:
+    """``key, t1, t2, n``: each text's anchors, and how many runs of all copies of the text have them."""
+
     def scan(batches):
         roller = Roller(length // 4)
         for batch in batches:
-            out = [[] for _ in range(7)]
-            for digest, weight, text in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2)):
+            for t1, t2, weight, text in zip(*batch.columns):
                 data = text.as_py().encode()
-                own = digest.as_py()
-                for first, starts, anchor in runs_of(data, length, roller):
-                    p = first + anchor
-                    row = (own, weight, first, starts, anchor, signed(xxhash.xxh3_64_intdigest(data[p:p + roller.k])),
-                           xxhash.xxh3_128_digest(data[first:first + starts - 1 + length]))
-                    for column, value in zip(out, row):
-                        column.append(value)
-                if len(out[0]) > 20_000:
-                    yield _runs_batch(out)
-                    out = [[] for _ in range(7)]
-            yield _runs_batch(out)
+                found = Counter(key_of(data, first + anchor, roller.k) for first, _, anchor in runs_of(data, length, roller))
+                own = (t1.as_py(), t2.as_py())
+                rows = [(key, *own, n * weight.as_py()) for key, n in found.items()]
+                yield _batch(rows, ["key", *TEXT, "n"], [pa.int64()] * 4)
+
+    return texts.select(*TEXT, "weight", "text").mapInArrow(scan, "key long, t1 long, t2 long, n long")
+
 
-    return texts.select("digest", "weight", "text").mapInArrow(scan, RUNS)
+def runs_with(texts: DataFrame, keys: DataFrame, length: int) -> DataFrame:
+    """Runs whose anchor is among ``keys`` (``t1, t2, key``), read from the texts where they lie."""
+    per_text = keys.groupBy(*TEXT).agg(F.collect_list("key").alias("keys"))
 
+    def scan(batches):
+        roller = Roller(length // 4)
+        for batch in batches:
+            for t1, t2, weight, text, wanted in zip(*batch.columns):
+                data, keys = text.as_py().encode(), set(wanted.as_py())
+                own = (t1.as_py(), t2.as_py(), weight.as_py())
+                rows = []
+                for first, starts, anchor in runs_of(data, length, roller):
+                    key = key_of(data, first + anchor, roller.k)
+                    if key in keys:
+                        content = xxhash.xxh3_128_digest(data[first:first + starts - 1 + length])
+                        rows.append((*own, first, starts, anchor, key, content))
+                yield _batch(rows, RUN_NAMES, RUN_KINDS)
 
-def _runs_batch(out: list[list]) -> pa.RecordBatch:
-    kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
-    names = ["digest", "weight", "first", "starts", "anchor", "key", "content"]
-    return _table({n: (v, t) for n, v, t in zip(names, out, kinds)})
+    joined = texts.select(*TEXT, "weight", "text").join(per_text, TEXT).select(*TEXT, "weight", "text", "keys")
+    return joined.mapInArrow(scan, RUNS)
 
 
 def counted(rows: DataFrame) -> DataFrame:
     """One row per ``key, content``: the weight of all its rows and one of them."""
-    place = F.struct("digest", "first", "starts", "anchor")
+    place = F.struct(*TEXT, "first", "starts", "anchor")
     return rows.groupBy("key", "content").agg(F.sum("weight").alias("weight"), F.min(place).alias("place"))
 
 
 class SuffixLevels:
-    """The index: at most one sorted array of each size, and the anchors found in more than one run so far."""
+    """The index: sorted arrays of anchors, and the anchors found in more than one run so far.
+
+    Arrays of the same level are merged when the next batch comes, so the last
+    batch does not rewrite what nothing reads.
+    """
 
     def __init__(self) -> None:
-        self.levels: dict[int, DataFrame] = {}
+        self.levels: list[tuple[int, DataFrame]] = []
         self.shared: DataFrame | None = None
 
-    def add(self, runs: DataFrame) -> None:
-        array = store(counted(runs).repartition("key").sortWithinPartitions("key"), "suffix-level")
-        keys = array.groupBy("key").agg(F.sum("weight").alias("n"))
-        found = keys.filter("n > 1").select("key")
-        for level in self.levels.values():
-            found = found.union(keys.select("key").join(level.select("key"), "key", "left_semi"))
-        found = store(found.distinct(), "suffix-shared")
+    def add(self, anchors: DataFrame) -> None:
+        while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
+            (level, a), (_, b) = self.levels.pop(), self.levels.pop()
+            self.levels.append((level + 1, self._array(a.unionByName(b))))
+        array = self._array(anchors.select("key", "n"))
+        found = array.filter("n > 1").select("key")
+        for _, level in self.levels:
+            found = found.union(array.select("key").join(level.select("key"), "key", "left_semi"))
+        found = store(found, "suffix-shared")
         self.shared = found if self.shared is None else self.shared.union(found)
-        size = 0
-        while size in self.levels:
-            both = self.levels.pop(size).unionByName(array)
-            merged = both.groupBy("key", "content").agg(F.sum("weight").alias("weight"), F.min("place").alias("place"))
-            array = store(merged.repartition("key").sortWithinPartitions("key"), "suffix-level")
-            size += 1
-        self.levels[size] = array
-
-    def contents(self) -> DataFrame:
-        """Distinct contents of the shared anchors, over all levels."""
-        every = None
-        for level in self.levels.values():
-            every = level if every is None else every.unionByName(level)
-        of_shared = every.join(self.shared.distinct(), "key", "left_semi")
-        if len(self.levels) > 1:
-            of_shared = of_shared.groupBy("key", "content").agg(F.sum("weight").alias("weight"), F.min("place").alias("place"))
-        return store(of_shared, "suffix-contents")
+        self.levels.append((0, array))
+
+    @staticmethod
+    def _array(anchors: DataFrame) -> DataFrame:
+        """One entry per anchor, in the order of anchors within each of Spark's partitions."""
+        return store(anchors.groupBy("key").agg(F.sum("n").alias("n")).sortWithinPartitions("key"), "suffix-level")
 
 
 def contested(contents: DataFrame) -> DataFrame:
@@ -191,33 +206,33 @@ def contested(contents: DataFrame) -> DataFrame:
 
 def slices(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """The bytes of the wanted runs (``weight, place``), read from the texts where they lie."""
-    per_text = wanted.groupBy("place.digest").agg(
+    per_text = wanted.groupBy(*[F.col(f"place.{t}").alias(t) for t in TEXT]).agg(
         F.collect_list(F.struct("place.first", "place.starts", "place.anchor", "weight")).alias("runs"))
 
     def cut(batches):
         for batch in batches:
-            out = [[] for _ in range(6)]
-            for digest, text, runs in zip(batch.column(0), batch.column(1), batch.column(2)):
-                data, own = text.as_py().encode(), digest.as_py()
-                for r in runs.as_py():
-                    row = (own, r["weight"], r["first"], r["starts"], r["anchor"],
-                           data[r["first"]:r["first"] + r["starts"] - 1 + length])
-                    for column, value in zip(out, row):
-                        column.append(value)
-            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-            names = ["digest", "weight", "first", "starts", "anchor", "body"]
-            yield _table({n: (v, t) for n, v, t in zip(names, out, kinds)})
-
-    joined = texts.select("digest", "text").join(per_text, "digest").select("digest", "text", "runs")
-    return joined.mapInArrow(cut, "digest binary, weight long, first long, starts int, anchor int, body binary")
+            for t1, t2, text, runs in zip(*batch.columns):
+                data, own = text.as_py().encode(), (t1.as_py(), t2.as_py())
+                rows = [
+                    (*own, r["weight"], r["first"], r["starts"], r["anchor"],
+                     data[r["first"]:r["first"] + r["starts"] - 1 + length])
+                    for r in runs.as_py()
+                ]
+                yield _batch(rows, [*RUN_NAMES[:6], "body"], [*RUN_KINDS[:6], pa.binary()])
+
+    joined = texts.select(*TEXT, "text").join(per_text, TEXT).select(*TEXT, "text", "runs")
+    return joined.mapInArrow(cut, "t1 long, t2 long, weight long, first long, starts int, anchor int, body binary")
 
 
 def pieces(bodies: DataFrame, length: int, block: int, with_core: bool) -> DataFrame:
-    """Runs cut at multiples of ``block`` before the anchor; key of the common core, or of the content itself."""
+    """Runs cut at multiples of ``block`` before the anchor, with the key of the windows' common core.
+
+    Single windows need no core, and no body further on.
+    """
 
     def cut(batches):
         for batch in batches:
-            out = [[] for _ in range(8)]
+            rows = []
             for r in batch.to_pylist():
                 body, i = r["body"], 0
                 while i < r["starts"]:
@@ -226,63 +241,61 @@ def pieces(bodies: DataFrame, length: int, block: int, with_core: bool) -> DataF
                     own = body[i:i + n - 1 + length]
                     core = r["anchor"] - number * block
                     key = xxhash.xxh3_64_intdigest(body[core:core + length - block + 1], number) if with_core else 0
-                    row = (r["digest"], r["weight"], r["first"] + i, n, r["anchor"] - i, signed(key),
-                           xxhash.xxh3_128_digest(own), own if with_core else None)
-                    for column, value in zip(out, row):
-                        column.append(value)
+                    rows.append((r["t1"], r["t2"], r["weight"], r["first"] + i, n, r["anchor"] - i, signed(key),
+                                 xxhash.xxh3_128_digest(own), own if with_core else None))
                     i += n
-            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
-            names = ["digest", "weight", "first", "starts", "anchor", "key", "content", "body"]
-            yield _table({n: (v, t) for n, v, t in zip(names, out, kinds)})
+                if len(rows) > 20_000:
+                    yield _batch(rows, [*RUN_NAMES, "body"], [*RUN_KINDS, pa.binary()])
+                    rows = []
+            yield _batch(rows, [*RUN_NAMES, "body"], [*RUN_KINDS, pa.binary()])
 
     return bodies.mapInArrow(cut, RUNS + ", body binary")
 
 
+def text_key(sha: Column) -> list[Column]:
+    return [F.xxhash64(sha).alias("t1"), F.xxhash64(F.lit(1), sha).alias("t2")]
+
+
 def distinct_texts(docs: DataFrame, length: int) -> DataFrame:
-    """Texts of at least ``length`` bytes, once each: ``digest, weight, text``, bucketed by digest."""
+    """Texts of at least ``length`` bytes, once each: ``t1, t2, weight, text``, bucketed by their key."""
     spark = docs.sparkSession
     name, path = f"suffix_texts_{uuid.uuid4().hex}", scratch_path(spark, "suffix-texts")
     (
         docs.filter(F.octet_length("text") >= length)
-        .groupBy(F.unhex(F.substring(F.sha2(F.col("text").cast("binary"), 256), 1, 32)).alias("digest"))
-        .agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("weight"))
-        .write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "digest").option("path", path).saveAsTable(name)
+        .select(*text_key(F.sha2(F.col("text").cast("binary"), 256)), "text")
+        .groupBy(*TEXT).agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("weight"))
+        .write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), *TEXT)
+        .option("path", path).option("compression", "zstd").saveAsTable(name)
     )
     return spark.table(name)
 
 
 def repeated_starts(texts: DataFrame, length: int, batches: int) -> DataFrame:
-    """Window starts that repeat, as ``digest, first, starts``, of texts that occur once."""
-    runs = store(all_runs(texts, length).withColumn("batch", F.pmod(F.xxhash64("digest"), F.lit(batches))), "suffix-runs")
+    """Window starts that repeat, as ``t1, t2, first, starts``, of texts that occur once."""
+    anchors = store(all_anchors(texts, length), "suffix-anchors")
     index = SuffixLevels()
     for k in range(batches):
-        index.add(runs.filter(F.col("batch") == k))
-    contents = index.contents()
-    whole = store(contents.filter("weight > 1").groupBy("content").agg(F.sum("weight").alias("n")), "suffix-whole")
-    single = runs.filter("weight = 1")
-    spans = attach_groups(single.select("digest", "first", "starts", "content"), whole, "content", "n")
-    spans = spans.filter(F.col("n").isNotNull()).select("digest", "first", "starts")
+        index.add(anchors.filter(F.pmod("t1", F.lit(batches)) == k))
+    runs = store(runs_with(texts, anchors.join(index.shared, "key", "left_semi"), length), "suffix-runs")
+    contents = store(counted(runs), "suffix-contents")
+    once = F.col("weight") == 1
+    spot = [*TEXT, "first", "starts"]
+
+    def repeated(rows: DataFrame, contents: DataFrame) -> DataFrame:
+        """Rows of texts that occur once whose whole content occurs again."""
+        again = store(contents.filter("weight > 1").groupBy("content").agg(F.sum("weight").alias("n")), "suffix-again")
+        rows = rows.filter(once).select(*spot, "content")
+        return attach_groups(rows, again, "content", "n").filter(F.col("n").isNotNull()).select(*spot)
+
     # blocks of the runs that share their anchor with other contents
     bodies = slices(texts, contested(contents).select("weight", "place"), length)
     blocks = store(pieces(bodies, length, BLOCK, True), "suffix-blocks")
-    once = F.col("weight") == 1
     block_contents = store(counted(blocks), "suffix-block-contents")
-    whole_blocks = store(block_contents.filter("weight > 1").select("content", F.col("weight").alias("n")).distinct(), "suffix-whole-blocks")
-    block_rows = blocks.select("digest", "first", "starts", "content", "weight")
-    spans = spans.union(
-        attach_groups(block_rows, whole_blocks, "content", "n").filter(F.col("n").isNotNull() & once)
-        .select("digest", "first", "starts")
-    )
     # single windows of the blocks that share their core with other contents
-    open_blocks = contested(block_contents).select("weight", "place.*")
-    bodies = open_blocks.withColumnRenamed("weight", "total").join(
-        blocks.select("digest", "first", "starts", "body"), ["digest", "first", "starts"]
-    ).select("digest", F.col("total").alias("weight"), "first", "starts", "anchor", "body")
-    windows = store(pieces(bodies, length, 1, False).select("digest", "weight", "first", "starts", "content"), "suffix-windows")
-    again = store(windows.groupBy("content").agg(F.sum("weight").alias("n")).filter("n > 1"), "suffix-again")
-    return spans.union(
-        attach_groups(windows, again, "content", "n").filter(F.col("n").isNotNull() & once).select("digest", "first", "starts")
-    )
+    opened = contested(block_contents).select("weight", "place.*").join(blocks.select(*spot, "body"), spot)
+    windows = store(pieces(opened, length, 1, False).drop("body", "anchor"), "suffix-windows")
+    window_contents = windows.groupBy("content").agg(F.sum("weight").alias("weight"))
+    return repeated(runs, contents).union(repeated(blocks, block_contents)).union(repeated(windows, window_contents))
 
 
 def remove_repeats(
@@ -293,20 +306,18 @@ def remove_repeats(
     sha = F.sha2(F.col("text").cast("binary"), 256)
     rows = store(
         own.select("id", F.octet_length("text").cast("long").alias("n_bytes"), sha.alias("sha"))
-        .withColumn("digest", F.unhex(F.substring("sha", 1, 32))),
+        .withColumn("text_key", F.struct(*text_key(F.col("sha")))),
         "suffix-rows",
     )
     texts = distinct_texts(own, length)
-    spans = repeated_starts(texts, length, batches).groupBy("digest").agg(
-        F.collect_list(F.struct("first", "starts")).alias("spans"))
+    spans = repeated_starts(texts, length, batches).groupBy(*TEXT).agg(F.collect_list(F.struct("first", "starts")).alias("spans"))
 
-    def apply(parts):
-        for part in parts:
-            out = [[] for _ in range(4)]
-            for digest, own_text, found in zip(part.column(0), part.column(1), part.column(2)):
+    def apply(batches):
+        for batch in batches:
+            done = []
+            for t1, t2, own_text, found in zip(*batch.columns):
                 data = own_text.as_py().encode()
-                kept, done, removed, many = hashlib.sha256(), 0, 0, 0
-                end = -1  # of the removed run that is open
+                kept, removed, many, end = hashlib.sha256(), 0, 0, -1  # end of the removed stretch so far
                 for r in sorted(found.as_py(), key=lambda r: r["first"]):
                     a, b = r["first"], r["first"] + r["starts"] - 1 + length
                     if a > end:
@@ -318,22 +329,21 @@ def remove_repeats(
                         removed += b - end
                         end = b
                 kept.update(data[max(end, 0):])
-                for column, value in zip(out, (digest.as_py(), removed, many, kept.hexdigest())):
-                    column.append(value)
-            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.string()]
-            yield _table({n: (v, t) for n, v, t in zip(["digest", "n_removed", "n_spans", "kept_sha256"], out, kinds)})
+                done.append((t1.as_py(), t2.as_py(), removed, many, kept.hexdigest()))
+            names = [*TEXT, "n_removed", "n_spans", "kept_sha256"]
+            yield _batch(done, names, [*[pa.int64()] * 4, pa.string()])
 
     cut = (
-        texts.filter("weight = 1").select("digest", "text").join(spans, "digest").select("digest", "text", "spans")
-        .mapInArrow(apply, "digest binary, n_removed long, n_spans long, kept_sha256 string")
+        texts.filter("weight = 1").select(*TEXT, "text").join(spans, TEXT).select(*TEXT, "text", "spans")
+        .mapInArrow(apply, "t1 long, t2 long, n_removed long, n_spans long, kept_sha256 string")
         .withColumn("n", F.lit(1).cast("long"))
     )
     copies = texts.filter("weight > 1").select(
-        "digest", F.lit(None).cast("long").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
+        *TEXT, F.lit(None).cast("long").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
         F.lit(EMPTY_SHA).alias("kept_sha256"), F.col("weight").alias("n"),
     )
-    known = store(cut.unionByName(copies), "suffix-known")
-    joined = attach_groups(rows, known, "digest", "n")
+    known = store(cut.unionByName(copies).withColumn("text_key", F.struct(*TEXT)).drop(*TEXT), "suffix-known")
+    joined = attach_groups(rows, known, "text_key", "n")
     untouched = F.col("n").isNull()
     return joined.select(
         F.col("id").alias(id), "n_bytes",
