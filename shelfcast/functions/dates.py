@@ -5,11 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def day_of_week(date: str | Column) -> Column:
-    """Monday is 0."""
-    return F.weekday(date)
-
-
 def date_parts(date: str = "date") -> dict[str, Column]:
     """Calendar features by name; ``week`` is the ISO week."""
     d = F.col(date)

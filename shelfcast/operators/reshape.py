@@ -19,7 +19,8 @@ def melt_days(wide: DataFrame, keys: Sequence[str], prefix: str = "d_", value: s
     """
     days = [c for c in wide.columns if c.startswith(prefix)]
     numbers = F.expr(f"array({', '.join(str(int(c[len(prefix):])) for c in days)})")
-    long = wide.select(*keys, F.posexplode(F.array(*days)).alias("_pos", value))
+    cells = F.expr(f"array({', '.join(days)})")  # one call for all columns
+    long = wide.select(*keys, F.posexplode(cells).alias("_pos", value))
     return long.select(*keys, numbers[F.col("_pos")].alias("d"), value)
 
 
@@ -31,6 +32,21 @@ def spread_days(long: DataFrame, keys: Sequence[str], first: int, last: int, val
     return wide.na.fill(0.0, subset=[str(k) for k in days]).toDF(*keys, *[f"d_{k}" for k in days])
 
 
+def wide_lines(sparse: DataFrame, keys: Sequence[str], last: int, value: str = "sales") -> DataFrame:
+    """Lines of a file with one column per day, from sparse rows; days without a row are 0.
+
+    One expression over an array of days, where thousands of pivoted columns
+    would take longer to plan than to run.
+    """
+    rows = sparse.groupBy(*keys).agg(F.collect_list(F.struct("d", value)).alias("_days"))
+
+    def at(day: Column) -> Column:
+        return F.coalesce(F.get(F.filter("_days", lambda s: s["d"] == day), F.lit(0))[value], F.lit(0.0))
+
+    cells = F.transform(F.sequence(F.lit(1), F.lit(last)), lambda day: at(day).cast("string"))
+    return rows.select(F.concat_ws(",", *keys, F.array_join(cells, ",")).alias("value"))
+
+
 def melt_steps(wide: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """A forecast file with ``F1..`` columns to rows ``(keys, h, value)``."""
     steps = [c for c in wide.columns if c not in keys]
@@ -90,11 +106,6 @@ def horizon_label(day: str, train_last: int) -> Column:
     return F.concat(F.lit("F"), F.col(day) - F.lit(train_last))
 
 
-def horizon_rank(key: str, order: str) -> Column:
-    """``F<rank>`` by row position, for series with missing days."""
-    return F.concat(F.lit("F"), F.row_number().over(Window.partitionBy(key).orderBy(order)))
-
-
 def dual_label(df: DataFrame, id_col: str, old: str, new: str) -> DataFrame:
     """Every row under its own label and again under the other one, in one pass over ``df``."""
     from shelfcast.functions.text import relabel

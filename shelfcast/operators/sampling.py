@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfcast.functions.numeric import hashed_uniform
+from shelfcast.functions.numeric import hashed_poisson, hashed_uniform
 from shelfcast.operators.ordering import ranged_index
 
 
@@ -61,5 +61,12 @@ def sample_stratified(df: DataFrame, stratum: str, per_stratum: int, keys: Seque
     return joined.filter(hashed_uniform(*keys, seed=seed) < F.lit(float(per_stratum)) / F.col("_n")).drop("_n")
 
 
-def sample_with_replacement(df: DataFrame, fraction: float, seed: int = 0) -> DataFrame:
-    return df.sample(True, fraction, seed)
+def sample_with_replacement(df: DataFrame, keys: Sequence[str], seed: int = 0) -> DataFrame:
+    """As many rows as ``df`` has on average, drawn with replacement.
+
+    Each row is repeated a Poisson(1) number of times, drawn from its key: the
+    limit of drawing as many rows as there are, without counting or moving any.
+    """
+    times = hashed_poisson(hashed_uniform(*keys, seed=seed))
+    repeated = df.withColumn("_copy", F.explode(F.when(times > 0, F.sequence(F.lit(1), times)).otherwise(F.array().cast("array<int>"))))
+    return repeated.drop("_copy")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfcast.functions.dates import date_parts, fourier_terms
@@ -10,7 +12,7 @@ from shelfcast.operators.aggregates import (
 )
 from shelfcast.operators.joins import with_calendar, with_rate
 from shelfcast.operators.projection import mask_from, pick_by_group
-from shelfcast.operators.sampling import sample_rows, sample_stratified, sample_weighted
+from shelfcast.operators.sampling import sample_rows, sample_stratified, sample_weighted, sample_with_replacement
 from shelfcast.operators.topdown import renormalise
 from shelfcast.operators.windows import (
     age, amplitude_weight, growth_rates, lag_columns, last_days, recency_weight, rolling_columns, series_features,
@@ -259,6 +261,19 @@ def best_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 UNIFORM = "(CAST('0x' || substr(md5(id || '|' || CAST(d AS VARCHAR) || '|{}'), 1, 8) AS BIGINT) / 4294967296.0)"
 
+# Cumulative probabilities of Poisson(1).
+POISSON_STEPS = [sum(math.exp(-1.0) / math.factorial(k) for k in range(n + 1)) for n in range(12)]
+
+
+@query("sample_replacement", with_panel("part") + f"""
+SELECT id, d, sales FROM (
+  SELECT *, unnest(generate_series(1, {' + '.join(f'CAST(u >= {c!r} AS INTEGER)' for c in POISSON_STEPS)})) AS copy
+  FROM (SELECT id, d, sales, {UNIFORM.format(19)} AS u FROM sales))""")
+def sample_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows drawn with replacement."""
+    return sample_with_replacement(panel_sales(spark, sf_dir).select("id", "d", "sales"), ["id", "d"], seed=19)
+
+
 
 @query("holdout_sample", with_panel("part") + f"SELECT id, d, sales FROM sales ORDER BY {UNIFORM.format(11)}, id, d LIMIT 5000")
 def holdout_sample(spark: SparkSession, sf_dir: str) -> DataFrame:

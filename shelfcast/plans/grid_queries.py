@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from shelfcast.functions.dates import date_parts, is_weekend, parse_day, week_of_month
-from shelfcast.functions.numeric import round_count
+from shelfcast.functions.numeric import hashed_uniform, round_count
 from shelfcast.functions.text import has_label, relabel, series_key, split_series_key, with_label
 from shelfcast.operators.joins import (
     hashed_holdout, join_models, update_join, with_calendar, with_prices, with_prices_left, with_rate, without,
@@ -18,7 +18,7 @@ from shelfcast.operators.projection import (
     mask_from, one_hot, pick_by_group, rename_steps, temporal_split, tight_types, trailing_slice,
 )
 from shelfcast.operators.reshape import (
-    dual_label, future_rows, horizon_label, item_matrix, melt_days, melt_steps, pivot_steps, spread_days,
+    dual_label, future_rows, horizon_label, item_matrix, melt_days, melt_steps, pivot_steps, wide_lines,
 )
 from shelfcast.operators.windows import rolling_columns
 from shelfcast.plans.panel import (
@@ -28,8 +28,12 @@ from shelfcast.plans.panel import (
 from shelfcast.plans.panel_sql import with_panel
 from shelfcast.plans.registry import query, r6
 from shelfcast.session import scratch_path
-from shelfcast.sources.files import read_csv, read_csv_glob, read_table, write_csv, write_forecasts, write_table
+from shelfcast.sources.files import (
+    nan_to_null, read_csv, read_csv_glob, read_table, read_wide, write_csv, write_forecasts, write_lines, write_table,
+)
+from shelfcast.sources.schemas import SALES_KEYS
 
+UNIFORM = "CAST('0x' || substr(md5({}), 1, 8) AS BIGINT) / 4294967296.0"
 F28 = ", ".join(f"round(avg(CASE WHEN h = {i} THEN v END), 6) AS F{i}" for i in range(1, 29))
 
 
@@ -296,17 +300,14 @@ def split_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- reshape -----------------------------------------------------------------
 
-@query("melt_sales", with_panel("brand") + """
-SELECT dept_id, store_id, d, count(*) AS series, sum(sales) AS sales, max(sales) AS top FROM dense GROUP BY ALL""")
+@query("melt_sales", with_panel("brand") + "SELECT id, d, sales FROM dense")
 def melt_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A sales file with one column per day (all days), melted, then totalled per day."""
-    horizon = panel_horizon(spark, sf_dir)
-    wide = spread_days(panel_sales(spark, sf_dir, "brand"), KEYS, 1, horizon.last)
-    stored = read_table(spark, write_table(wide, scratch_path(spark, "wide")))
-    long = melt_days(stored, KEYS)
-    return long.groupBy("dept_id", "store_id", "d").agg(
-        F.count(F.lit(1)).alias("series"), F.sum("sales").alias("sales"), F.max("sales").alias("top")
-    )
+    """A sales file with one column per day (all days), scanned by its schema and melted."""
+    last = panel_horizon(spark, sf_dir).last
+    lines = wide_lines(panel_sales(spark, sf_dir, "brand"), SALES_KEYS, last)
+    path = write_lines(lines, scratch_path(spark, "wide"))
+    long = nan_to_null(melt_days(read_wide(spark, path, last), ["id"]))
+    return long.withColumn("sales", F.col("sales").cast("double"))
 
 
 @query("pivot_horizon", with_panel("part") + f"SELECT id, {F28.replace('THEN v', 'THEN mean28 + snaive7')} FROM base GROUP BY id")
@@ -370,6 +371,15 @@ def append_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validation.unionByName(evaluation)
 
 
+@query("random_submission", with_panel("part") + f"""
+SELECT id || '_validation' AS id, h, truth + floor(100 * {UNIFORM.format("id || '|' || CAST(h AS VARCHAR) || '|11'")}) AS yhat FROM base""")
+def random_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The truth plus whole noise below 100 for every id and step, to compare scores with."""
+    noise = F.floor(hashed_uniform("id", "h", seed=11) * 100)
+    base = baseline_forecasts(spark, sf_dir)
+    return base.select(with_label("id", "validation").alias("id"), "h", (F.col("truth") + noise).alias("yhat"))
+
+
 # --- joins -------------------------------------------------------------------
 
 @query("join_calendar", with_panel("part") + "SELECT id, sales, c.* FROM sales s JOIN cal c ON c.d = s.d")
@@ -440,9 +450,6 @@ def ordered_like_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordered.select("id", "order", *[r6(f"F{i}") for i in range(1, 29)])
 
 
-UNIFORM = "CAST('0x' || substr(md5({}), 1, 8) AS BIGINT) / 4294967296.0"
-
-
 @query("holdout_split", with_panel("part") + f"""
 SELECT id, d, sales FROM sales WHERE NOT ({UNIFORM.format("id || '|' || CAST(d AS VARCHAR) || '|7'")} < 0.2)""")
 def holdout_split(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from shelfcast.sources.schemas import wide_sales
+
 
 def read_csv(
     spark: SparkSession,
@@ -31,6 +33,14 @@ def read_csv(
     return nan_to_null(df if columns is None else df.select(*columns))
 
 
+def read_wide(spark: SparkSession, path: str, last: int) -> DataFrame:
+    """A sales file with one column per day and no header.
+
+    Thousands of columns: missing values are left to whoever melts them.
+    """
+    return spark.read.schema(wide_sales(last)).csv(path)
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Missing values are NULL throughout the library, never NaN."""
     fixed = [
@@ -57,6 +67,12 @@ def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str
     return path
 
 
+def write_lines(lines: DataFrame, path: str) -> str:
+    """Ready-made text lines, without a header."""
+    lines.write.text(path)
+    return path
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
     """Parquet keeps every type, so it also stands in for pickled frames.
 
