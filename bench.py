@@ -19,7 +19,8 @@ HEADLINE = [
     "dept_sales", "growth_rate", "rolling_means_dept", "grid", "features", "melt_sales", "join_prices", "category_codes",
     "item_share", "holdout_sample", "hierarchy_rollup", "revenue_weights", "rmsse", "wrmsse", "wrmsse_models",
     "join_models", "blend", "stack_weights", "stack_apply", "top_down", "submission", "recursive_seasonal",
-    "recursive_forecast", "per_series_forecast", "topdown_volume",
+    "recursive_forecast", "per_series_forecast", "topdown_volume", "blend_search", "wrmsse_recursive", "alpha_ensemble",
+    "recursive_model", "tune_per_series", "bootstrap_mean",
 ]
 
 

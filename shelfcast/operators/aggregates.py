@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfcast.functions.numeric import ratio
+from shelfcast.session import measured
 
 
 def totals(df: DataFrame, keys: Sequence[str], values: Sequence[str] = ("sales",)) -> DataFrame:
@@ -41,15 +42,19 @@ def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def share_of_total(
-    df: DataFrame, group: Sequence[str], value: str = "sales", name: str = "share", scale: float = 1.0
+    df: DataFrame, group: Sequence[str], value: str = "sales", name: str = "share", scale: float = 1.0,
+    store_totals: bool = False,
 ) -> DataFrame:
     """``value`` over the total of its group; NULL where the total is 0.
 
     The totals are aggregated map-side and joined back.  A window total would
     gather each group in one task, which fails when one group holds much of the
-    data; here a hot group only meets its one total row.
+    data; here a hot group only meets its one total row.  For few large groups
+    ``store_totals`` writes the totals first, and their known size lets the
+    planner broadcast them instead of shuffling the rows on a hot key.
     """
     total = df.groupBy(*group).agg(F.sum(value).alias("_total"))
+    total = measured(total) if store_totals else total
     joined = df.join(total, list(group), "left")
     return joined.withColumn(name, ratio(F.col(value), F.col("_total")) * F.lit(scale)).drop("_total")
 

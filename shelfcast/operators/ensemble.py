@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from shelfcast.functions.numeric import clip_zero
+from shelfcast.session import measured
 
 # Fixed value: ridge penalty per observation.
 RIDGE = 1e-4
@@ -54,6 +55,6 @@ def stack_weights(
 
 def stack_apply(df: DataFrame, weights: DataFrame, group: Sequence[str], models: Sequence[str]) -> DataFrame:
     """``ensemble``: the weighted models of each row, not below zero."""
-    joined = df.join(weights, list(group))
+    joined = df.join(measured(weights), list(group))
     mixed = [F.col("w")[i] * F.col(m) for i, m in enumerate(models)]
     return joined.withColumn("ensemble", clip_zero(sum(mixed[1:], mixed[0]))).drop("w")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfcast.functions.numeric import hashed_poisson, hashed_uniform
 from shelfcast.operators.ordering import ranged_index
+from shelfcast.session import measured
 
 
 def smallest(df: DataFrame, rank: Column, ties: Sequence[str], n: int) -> DataFrame:
@@ -56,7 +57,7 @@ def sample_stratified(df: DataFrame, stratum: str, per_stratum: int, keys: Seque
     A Bernoulli draw at the rate ``per_stratum / rows`` of the stratum, so a hot
     stratum is thinned where it lies.
     """
-    sizes = df.groupBy(stratum).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = measured(df.groupBy(stratum).agg(F.count(F.lit(1)).alias("_n")))
     joined = df.join(sizes, stratum)
     return joined.filter(hashed_uniform(*keys, seed=seed) < F.lit(float(per_stratum)) / F.col("_n")).drop("_n")
 

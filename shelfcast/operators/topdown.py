@@ -33,7 +33,7 @@ def trailing_shares(recent: DataFrame) -> DataFrame:
     """Each item's share of its store x department over the given days."""
     keys = ["id", "item_id", "dept_id", "store_id"]
     volume = recent.groupBy(*keys).agg(F.sum("sales").alias("sales"))
-    return share_of_total(volume, ["dept_id", "store_id"])
+    return share_of_total(volume, ["dept_id", "store_id"], store_totals=True)
 
 
 def renormalise(predicted: DataFrame, value: str = "share", day: str = "d") -> DataFrame:

@@ -125,3 +125,10 @@ def test_blend_scores_equal_scores_of_blended_errors(spark, small):
     mixed = sum((F.col(m) * w for m, w in weights.items()), F.lit(0.0))
     slow = weighted_scores(history, errors.select(*KEYS, "h", mixed.alias("error")), earned, horizon.train_last)
     assert np.isclose(quick["wrmsse"], slow.agg(F.avg("score")).first()[0])
+
+
+def test_rows_are_not_shuffled_on_few_groups(spark, small):
+    """The side of group facts is stored, so its size is known when the join is planned."""
+    plan = QUERIES["stack_apply"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    assert not any("hashpartitioning(store_id" in line and "dept_id" in line for line in plan.splitlines() if "Exchange" in line)
