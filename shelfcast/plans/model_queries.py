@@ -113,7 +113,8 @@ ALPHAS = [1.035, 1.03, 1.025]
 @query("alpha_ensemble", with_panel("brand", "kept AS MATERIALIZED (SELECT id, d, sales, alpha FROM grid CROSS JOIN "
                                     "(VALUES (1.035::DOUBLE), (1.03::DOUBLE), (1.025::DOUBLE)) a(alpha))",
                                     *recursion_sql("kept", "alpha, id", "s.alpha")) + """
-SELECT id, d, round(avg(sales), 6) AS sales FROM step28 WHERE d > (SELECT t FROM bounds) GROUP BY id, d""")
+SELECT id, d, round(list_reduce(list_sort(list(sales)), lambda a, b: a + b) / count(*), 6) AS sales
+FROM step28 WHERE d > (SELECT t FROM bounds) GROUP BY id, d""")
 def alpha_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three recursions with their own multipliers side by side, then averaged."""
     grid = with_multipliers(panel_grid(spark, sf_dir, rate=False).select("id", "d", "sales"), ALPHAS)
