@@ -57,7 +57,8 @@ def recursive_forecast(
         if share:
             predicted = renormalise(predicted.drop("sales").withColumnRenamed("prediction", "sales"), "sales")
         else:
-            factor = F.lit(1.0) if multiplier is None else F.col(multiplier)
+            # a department without a growth rate is forecast without growth
+            factor = F.lit(1.0) if multiplier is None else F.coalesce(F.col(multiplier), F.lit(1.0))
             predicted = predicted.withColumn("sales", factor * F.col("prediction"))
         known = cut_lineage(known.unionByName(predicted.select(*series)))
     forecast = known.filter(F.col("d") > train_last)

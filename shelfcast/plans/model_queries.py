@@ -80,7 +80,7 @@ step{h} AS (SELECT * FROM step{h - 1} UNION ALL
 
 
 @query("recursive_forecast", with_panel("brand", "kept AS MATERIALIZED (SELECT id, d, sales, rate FROM grid)",
-                                        *recursion_sql("kept", "id", "s.rate")) + """
+                                        *recursion_sql("kept", "id", "coalesce(s.rate, 1.0)")) + """
 SELECT id, d, round(sales, 6) AS sales FROM step28 WHERE d > (SELECT t FROM bounds)""")
 def recursive_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item-level recursion of a linear model: four rounds of seven days."""
@@ -90,7 +90,7 @@ def recursive_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("wrmsse_recursive", with_panel(
-    "brand", "kept AS MATERIALIZED (SELECT id, d, sales, rate FROM grid)", *recursion_sql("kept", "id", "s.rate"), *SCORE_SQL[:-1], """
+    "brand", "kept AS MATERIALIZED (SELECT id, d, sales, rate FROM grid)", *recursion_sql("kept", "id", "coalesce(s.rate, 1.0)"), *SCORE_SQL[:-1], """
 rerrs AS (SELECT i.*, f.d - t AS h, 'recursive' AS model, coalesce(s.sales, 0.0) - f.sales AS error
           FROM step28 f JOIN ids i ON i.id = f.id CROSS JOIN bounds
           LEFT JOIN sales s ON s.id = f.id AND s.d = f.d WHERE f.d > t)""", *scores_sql("rerrs")) + """
