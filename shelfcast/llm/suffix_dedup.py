@@ -224,11 +224,8 @@ def slices(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return joined.mapInArrow(cut, "t1 long, t2 long, weight long, first long, starts int, anchor int, body binary")
 
 
-def pieces(bodies: DataFrame, length: int, block: int, with_core: bool) -> DataFrame:
-    """Runs cut at multiples of ``block`` before the anchor, with the key of the windows' common core.
-
-    Single windows need no core, and no body further on.
-    """
+def pieces(bodies: DataFrame, length: int, block: int, with_core: bool = True) -> DataFrame:
+    """Runs cut at multiples of ``block`` before the anchor, with the key of the windows' common core (single windows need none)."""
 
     def cut(batches):
         for batch in batches:
@@ -242,14 +239,14 @@ def pieces(bodies: DataFrame, length: int, block: int, with_core: bool) -> DataF
                     core = r["anchor"] - number * block
                     key = xxhash.xxh3_64_intdigest(body[core:core + length - block + 1], number) if with_core else 0
                     rows.append((r["t1"], r["t2"], r["weight"], r["first"] + i, n, r["anchor"] - i, signed(key),
-                                 xxhash.xxh3_128_digest(own), own if with_core else None))
+                                 xxhash.xxh3_128_digest(own)))
                     i += n
                 if len(rows) > 20_000:
-                    yield _batch(rows, [*RUN_NAMES, "body"], [*RUN_KINDS, pa.binary()])
+                    yield _batch(rows, RUN_NAMES, RUN_KINDS)
                     rows = []
-            yield _batch(rows, [*RUN_NAMES, "body"], [*RUN_KINDS, pa.binary()])
+            yield _batch(rows, RUN_NAMES, RUN_KINDS)
 
-    return bodies.mapInArrow(cut, RUNS + ", body binary")
+    return bodies.mapInArrow(cut, RUNS)
 
 
 def text_key(sha: Column) -> list[Column]:
@@ -289,11 +286,11 @@ def repeated_starts(texts: DataFrame, length: int, batches: int) -> DataFrame:
 
     # blocks of the runs that share their anchor with other contents
     bodies = slices(texts, contested(contents).select("weight", "place"), length)
-    blocks = store(pieces(bodies, length, BLOCK, True), "suffix-blocks")
+    blocks = store(pieces(bodies, length, BLOCK), "suffix-blocks")
     block_contents = store(counted(blocks), "suffix-block-contents")
-    # single windows of the blocks that share their core with other contents
-    opened = contested(block_contents).select("weight", "place.*").join(blocks.select(*spot, "body"), spot)
-    windows = store(pieces(opened, length, 1, False).drop("body", "anchor"), "suffix-windows")
+    # single windows of the blocks that share their core with other contents; their bytes are read from the texts again
+    bodies = slices(texts, contested(block_contents).select("weight", "place"), length)
+    windows = store(pieces(bodies, length, 1, False).drop("anchor", "key"), "suffix-windows")
     window_contents = windows.groupBy("content").agg(F.sum("weight").alias("weight"))
     return repeated(runs, contents).union(repeated(blocks, block_contents)).union(repeated(windows, window_contents))
 
