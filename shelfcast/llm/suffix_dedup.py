@@ -253,8 +253,8 @@ def text_key(sha: Column) -> list[Column]:
     return [F.xxhash64(sha).alias("t1"), F.xxhash64(F.lit(1), sha).alias("t2")]
 
 
-def distinct_texts(docs: DataFrame, length: int) -> DataFrame:
-    """Texts of at least ``length`` bytes, once each: ``t1, t2, weight, text``, bucketed by their key."""
+def distinct_texts(docs: DataFrame, length: int) -> str:
+    """Name of a table of the texts of at least ``length`` bytes, once each: ``t1, t2, weight, text``, bucketed by their key."""
     spark = docs.sparkSession
     name, path = f"suffix_texts_{uuid.uuid4().hex}", scratch_path(spark, "suffix-texts")
     (
@@ -264,7 +264,7 @@ def distinct_texts(docs: DataFrame, length: int) -> DataFrame:
         .write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), *TEXT)
         .option("path", path).option("compression", "zstd").saveAsTable(name)
     )
-    return spark.table(name)
+    return name
 
 
 def repeated_starts(texts: DataFrame, length: int, batches: int) -> DataFrame:
@@ -306,7 +306,8 @@ def remove_repeats(
         .withColumn("text_key", F.struct(*text_key(F.col("sha")))),
         "suffix-rows",
     )
-    texts = distinct_texts(own, length)
+    name = distinct_texts(own, length)
+    texts = docs.sparkSession.table(name)
     spans = repeated_starts(texts, length, batches).groupBy(*TEXT).agg(F.collect_list(F.struct("first", "starts")).alias("spans"))
 
     def apply(batches):
@@ -340,6 +341,7 @@ def remove_repeats(
         F.lit(EMPTY_SHA).alias("kept_sha256"), F.col("weight").alias("n"),
     )
     known = store(cut.unionByName(copies).withColumn("text_key", F.struct(*TEXT)).drop(*TEXT), "suffix-known")
+    docs.sparkSession.sql(f"DROP TABLE {name}")  # nothing reads the texts any more
     joined = attach_groups(rows, known, "text_key", "n")
     untouched = F.col("n").isNull()
     return joined.select(
