@@ -149,7 +149,8 @@ def train(
     labelled = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).filter(
         F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id"))
     )
-    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # a stored table's bytes are known, so a few languages are broadcast and the texts stay where they are
+    sizes = store(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "langid-sizes")
     drawn = hashed_uniform(F.coalesce(F.col("id").cast("string"), F.lit("")), F.xxhash64("text"), seed=seed)
     sample = labelled.join(sizes, "lang").filter(drawn < F.lit(float(per_language)) / F.col("n"))
 
