@@ -12,8 +12,9 @@ plus) with the same labels.  A decoded segment is added when its posterior
 probability is at least ``SURE`` and it overlaps no pattern span.
 
 Defined results: a NULL text counts as empty: no spans.  Without any labelled
-window nothing is added.  Whole texts are scanned; time and memory are linear
-in their length.  Repeated rows are scanned each.  An empty table gives none.
+window nothing is added.  Whole texts are scanned in linear time; a window of
+more than STRETCH tokens (a table of numbers) is decoded in overlapping
+stretches of that size, which bounds the memory.  Repeated rows are scanned each.  An empty table gives none.
 """
 
 from __future__ import annotations
@@ -21,7 +22,9 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -38,6 +41,8 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 LONGEST = 16
+# Tokens decoded at a time, so that memory does not follow a long run of numbers.
+STRETCH = 2048
 WINDOWS = 400
 SURE = 0.9
 FEATURES = 1 << 13
@@ -258,21 +263,43 @@ def fit(samples: list[tuple[str, list[Span]]], epochs: int = 6, rate: float = 0.
     return weights
 
 
+def stretches(text: str, a: int, b: int) -> Iterator[tuple[int, int, int, int]]:
+    """Lattices ``(start, end, first, last)`` of a window; each answers for the segments that begin in ``first .. last - 1``.
+
+    A window of many tokens is decoded in stretches that overlap by more than
+    the longest segment and its neighbours.
+    """
+    marks = [a + m.start() for m in TOKEN.finditer(text[a:b])]
+    many, around = len(marks), 4 * LONGEST
+    if many <= STRETCH:
+        yield a, b, a, b
+        return
+    marks.append(b)
+    for k in range(0, many, STRETCH):
+        last = min(many, k + STRETCH)
+        yield marks[max(0, k - around)], marks[min(many, last + around)], marks[k], marks[last]
+
+
 def added_spans(text: str, base: list[Span], weights: np.ndarray) -> list[Span]:
-    out = []
+    starts = [s for s, _, _ in base]
+    reach = list(accumulate((e for _, e, _ in base), max))
+    out, done = [], 0
     for a, b in windows_of(text):
-        lattice = Lattice(text[a:b])
-        if not lattice.segments:
-            continue
-        chosen = lattice.best(weights)
-        if not chosen:
-            continue
-        sure = lattice.posterior(weights)[0]
-        for k, kind in chosen:
-            s, e = lattice.segments[k]
-            start, end = a + lattice.marks[s], a + lattice.marks[e]
-            if sure[k, kind] >= SURE and not any(x < end and start < y for x, y, _ in base):
-                out.append((start, end, kind))
+        for origin, stop, first, last in stretches(text, a, b):
+            lattice = Lattice(text[origin:stop])
+            chosen = lattice.best(weights) if lattice.segments else []
+            if not chosen:
+                continue
+            sure = lattice.posterior(weights)[0]
+            for k, kind in chosen:
+                s, e = lattice.segments[k]
+                start, end = origin + lattice.marks[s], origin + lattice.marks[e]
+                if not (first <= start < last and start >= done and sure[k, kind] >= SURE):
+                    continue
+                before = bisect_left(starts, end)  # base spans that begin before the end
+                if before == 0 or reach[before - 1] <= start:
+                    out.append((start, end, kind))
+                    done = end
     return out
 
 

@@ -275,6 +275,25 @@ def test_field_equals_enumeration():
     assert lattice.best(weights) == max(every)[1]
 
 
+def test_long_windows_are_decoded_in_stretches(monkeypatch):
+    weights = np.random.default_rng(5).normal(0, 0.2, (4, pii.FEATURES + 1))
+    weights[:, zlib.crc32(b"bias") % pii.FEATURES] = -0.3
+    weights[:, pii.FEATURES] = 0
+    monkeypatch.setattr(pii, "SURE", 0.0)
+    text = "\n".join(f"row {k} call 00{k * 7919} or {k}.{k + 1}.7.{k % 300} now" for k in range(120))
+    base = pii.base_spans(text)
+    whole = pii.added_spans(text, base, weights)
+    assert whole
+    monkeypatch.setattr(pii, "STRETCH", 100)
+    assert len(list(pii.stretches(text, 0, len(text)))) > 10
+    # a line break ends every segment, so stretches with a line around them choose alike
+    assert pii.added_spans(text, base, weights) == whole
+    numbers = " ".join(str(k % 97) for k in range(3000))
+    spans = pii.added_spans(numbers, [], weights)
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert not any(x < e and s < y for s, e, _ in whole for x, y, _ in base)
+
+
 def test_personal_data(spark, docs, rows, small):
     real = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
     extra = [(None, "mail a.b@c.de"), (-1, None), (-2, ""), (-3, "call 001 (826) 555-4081 or 10[.]0[.]0[.]1"), (-3, "x 4111111111111111")]
