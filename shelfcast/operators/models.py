@@ -69,6 +69,11 @@ def share_model(label: str = "share", weight: str | None = None) -> GeneralizedL
     return _glm(label, weight, family="binomial", link="logit")
 
 
+def unpenalised(model: GeneralizedLinearRegression) -> GeneralizedLinearRegression:
+    """The same model with a penalty that only settles collinear indicators, iterated further."""
+    return model.setRegParam(1e-9).setMaxIter(100).setTol(1e-9)
+
+
 def tree_model(label: str = "sales", weight: str | None = None, rounds: int = 20, depth: int = 5, seed: int = 1) -> GBTRegressor:
     model = GBTRegressor(labelCol=label, featuresCol="features", maxIter=rounds, maxDepth=depth, seed=seed, subsamplingRate=0.75)
     return model.setWeightCol(weight) if weight else model

@@ -18,11 +18,12 @@ from shelfcast.session import measured
 def smallest(df: DataFrame, rank: Column, ties: Sequence[str], n: int) -> DataFrame:
     """Exactly the ``n`` rows with the smallest ``rank``.
 
-    An approximate quantile first drops nearly all rows that cannot be among
-    them; only the rest is sorted, by range.  ``limit`` after a sort would send
-    all ``n`` rows through one task.
+    The input is stored with its rank, since it is read several times.  An
+    approximate quantile first drops nearly all rows that cannot be among them;
+    only the rest is sorted, by range.  ``limit`` after a sort would send all
+    ``n`` rows through one task.
     """
-    ranked = df.withColumn("_rank", rank)
+    ranked = measured(df.withColumn("_rank", rank))
     total = ranked.count()
     if n >= total:
         return ranked.drop("_rank")

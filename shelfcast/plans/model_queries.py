@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from shelfcast.operators.aggregates import share_of_total, target_means
 from shelfcast.operators.evaluation import weighted_scores
 from shelfcast.operators.models import (
-    importances, poisson_model, predictor, share_model, softmax_share_model, train, tree_model, tune, tweedie_model,
+    importances, poisson_model, predictor, share_model, softmax_share_model, train, tree_model, tune, tweedie_model, unpenalised,
 )
 from shelfcast.operators.recursion import average_runs, recursive_forecast, seasonal_forecast, with_multipliers
 from shelfcast.operators.reshape import pivot_steps
@@ -20,12 +20,12 @@ from shelfcast.operators.topdown import renormalise
 from shelfcast.operators.windows import growth_rates, series_features
 from shelfcast.plans.feature_queries import ROLLED, features_sql, panel_features, store_dept_table
 from shelfcast.plans.panel import (
-    KEYS, SERIES_KEYS, dept_days, panel_calendar, panel_grid, panel_horizon, panel_rates, panel_sales,
+    KEYS, SERIES_KEYS, baseline_forecasts, dept_days, panel_calendar, panel_grid, panel_horizon, panel_rates, panel_sales,
 )
 from shelfcast.plans.panel_sql import with_panel
 from shelfcast.plans.registry import query, r6
-from shelfcast.plans.score_queries import SCORE_SQL, score_history, scores_sql
-from shelfcast.session import cut_lineage, scratch_path
+from shelfcast.plans.score_queries import SCORE_SQL, SHARES_SQL, score_history, scores_sql, top_down_forecast
+from shelfcast.session import cut_lineage, measured, scratch_path
 
 LAGGED = ["lag_7", "lag_28", *ROLLED]
 NUMERIC = [*LAGGED, "sell_price", "mday", "snap_A", "snap_B"]
@@ -36,19 +36,45 @@ UNKNOWN = 0.0
 
 # --- recursion ---------------------------------------------------------------
 
-@query("recursive_seasonal", with_panel("part", """
-week AS MATERIALIZED (SELECT store_id, dept_id, CAST(d - t AS INTEGER) AS day, sales FROM dept, bounds WHERE d BETWEEN t - 6 AND t),
-rated AS MATERIALIZED (SELECT * FROM rates),
-ahead AS MATERIALIZED (SELECT h, CAST(ceil(h / 7.0) AS INTEGER) AS weeks, CAST(h - 7 * ceil(h / 7.0) AS INTEGER) AS day FROM steps)""") + """
-SELECT w.store_id, w.dept_id, h, round(power(rate, weeks) * sales, 6) AS yhat
-FROM ahead a JOIN week w ON w.day = a.day
-JOIN rated r ON r.dept_id = w.dept_id AND r.store_id = w.store_id""")
+SEASONAL_SQL = ["""
+week AS MATERIALIZED (SELECT store_id, dept_id, CAST(d - t AS INTEGER) AS day, sales FROM dept, bounds WHERE d BETWEEN t - 6 AND t)""",
+                "rated AS MATERIALIZED (SELECT * FROM rates)", """
+ahead AS MATERIALIZED (SELECT h, CAST(ceil(h / 7.0) AS INTEGER) AS weeks, CAST(h - 7 * ceil(h / 7.0) AS INTEGER) AS day FROM steps)""", """
+volumes AS MATERIALIZED (
+  SELECT w.store_id, w.dept_id, h, power(rate, weeks) * sales AS volume
+  FROM ahead a JOIN week w ON w.day = a.day
+  JOIN rated r ON r.dept_id = w.dept_id AND r.store_id = w.store_id)"""]
+
+
+def _seasonal_volumes(history: DataFrame, train_last: int) -> DataFrame:
+    days = dept_days(history, train_last)
+    return seasonal_forecast(days, growth_rates(days, train_last), train_last)
+
+
+@query("recursive_seasonal", with_panel("part", *SEASONAL_SQL)
+       + "SELECT store_id, dept_id, h, round(volume, 6) AS yhat FROM volumes")
 def recursive_seasonal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekly repetition with growth, per store and department."""
-    horizon = panel_horizon(spark, sf_dir)
-    days = dept_days(panel_sales(spark, sf_dir).filter(F.col("d") <= horizon.train_last), horizon.train_last)
-    rates = growth_rates(days, horizon.train_last)
-    return seasonal_forecast(days, rates, horizon.train_last).withColumn("yhat", r6("yhat"))
+    end = panel_horizon(spark, sf_dir).train_last
+    volumes = _seasonal_volumes(panel_sales(spark, sf_dir).filter(F.col("d") <= end), end)
+    return volumes.withColumn("yhat", r6("yhat"))
+
+
+@query("wrmsse_top_down", with_panel("part", *SEASONAL_SQL, SHARES_SQL, *SCORE_SQL[:-1], """
+spread_errs AS (
+  SELECT b.* EXCLUDE (truth, snaive7, snaive28, mean28), 'top_down' AS model, truth - coalesce(volume * share, snaive7) AS error
+  FROM base b JOIN shares s ON s.id = b.id
+  LEFT JOIN volumes v ON v.store_id = b.store_id AND v.dept_id = b.dept_id AND v.h = b.h)""", *scores_sql("spread_errs")) + """
+SELECT level, round(score, 6) AS score FROM scores""")
+def wrmsse_top_down(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole chain: volumes of stores and departments, shares, items, and their score on every level."""
+    horizon, history, earned = score_history(spark, sf_dir)
+    volumes = measured(_seasonal_volumes(history, horizon.train_last)).select(
+        "store_id", "dept_id", "h", F.lit("seasonal").alias("forecast_model"), F.col("yhat").alias("volume")
+    )
+    base = baseline_forecasts(spark, sf_dir)
+    errors = top_down_forecast(base, volumes).select(*KEYS, "h", (F.col("truth") - F.col("yhat")).alias("error"))
+    return weighted_scores(history, errors, earned, horizon.train_last).select("level", r6("score"))
 
 
 # Coefficients of a linear model that SQL can follow.
@@ -159,6 +185,38 @@ def train_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fit_volume(spark, sf_dir, poisson_model(weight="recency"))
 
 
+def categories_sql(rows: str, value: str) -> str:
+    """Actual means per category; those of a fit with a canonical link must be the same."""
+    return "\nUNION ALL ".join(
+        f"SELECT '{c}' AS feature, {c} AS category, count(*) AS n, round({value}, 4) AS actual, round({value}, 4) AS predicted "
+        f"FROM {rows} GROUP BY {c}" for c in SERIES_KEYS
+    )
+
+
+def _category_means(scored: DataFrame, label: str, weight: str) -> DataFrame:
+    """Weighted actual and predicted mean of every department and of every store."""
+    sums = scored.groupBy(*SERIES_KEYS).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(weight).alias("w"),
+        F.sum(F.col(weight) * F.col(label)).alias("actual"), F.sum(F.col(weight) * F.col("prediction")).alias("predicted"),
+    )
+    each = sums.unpivot(["n", "w", "actual", "predicted"], SERIES_KEYS, "feature", "category")
+    return each.groupBy("feature", "category").agg(
+        F.sum("n").alias("n"), F.round(F.sum("actual") / F.sum("w"), 4).alias("actual"),
+        F.round(F.sum("predicted") / F.sum("w"), 4).alias("predicted"),
+    )
+
+
+@query("volume_by_category", with_panel("brand", """
+weighted AS (SELECT dept_id, store_id, sales, d / CAST(t AS DOUBLE) AS w FROM grid, bounds WHERE d <= t)""")
+       + categories_sql("weighted", "sum(w * sales) / sum(w)"))
+def volume_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Poisson model with next to no penalty: its weighted means per category are those of its training rows."""
+    _, _, history = _training(spark, sf_dir)
+    history = cut_lineage(history.select("sales", "recency", *LAGGED, *SERIES_KEYS).na.fill(UNKNOWN, subset=LAGGED))
+    model = train(history, unpenalised(poisson_model(weight="recency")), LAGGED, SERIES_KEYS)
+    return _category_means(model.transform(history), "sales", "recency")
+
+
 @query("train_tweedie")
 def train_tweedie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fit_volume(spark, sf_dir, tweedie_model(weight="recency"))
@@ -179,6 +237,18 @@ def train_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _calibration(predictor(model, numeric=numeric)(rows), "sales")
 
 
+@query("share_by_category", with_panel("brand", """
+shared AS (
+  SELECT dept_id, store_id, sales / nullif(sum(sales) OVER (PARTITION BY dept_id, store_id, d), 0) AS share
+  FROM grid, bounds WHERE d <= t)""")
+       + categories_sql("(SELECT * FROM shared WHERE share IS NOT NULL)", "avg(share)"))
+def share_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A share model with next to no penalty: its means per category are those of its training rows."""
+    rows = share_history(spark, sf_dir).na.fill(UNKNOWN, subset=LAGGED).withColumn("one", F.lit(1.0))
+    model = train(rows, unpenalised(share_model(label="sales")), LAGGED, SERIES_KEYS)
+    return _category_means(model.transform(rows), "sales", "one")
+
+
 def share_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training rows with a known share."""
     rows = share_features(spark, sf_dir).filter(F.col("sales").isNotNull())
@@ -211,6 +281,17 @@ def recursive_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.select("id", "dept_id", "store_id", "d", r6("sales", "share"))
 
 
+@query("recursive_share_sums", with_panel("brand") + """
+SELECT i.dept_id, i.store_id, t + h AS d, count(*) AS items, 1.0 AS share
+FROM ids i JOIN (SELECT DISTINCT store_id, item_id FROM prices) p ON p.store_id = i.store_id AND p.item_id = i.item_id
+CROSS JOIN steps CROSS JOIN bounds GROUP BY ALL""")
+def recursive_share_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every priced item has a forecast share on every day, and those of a store and department add up to 1."""
+    sums = recursive_share(spark, sf_dir).groupBy("dept_id", "store_id", "d").agg(F.count("id").alias("items"), F.sum("share").alias("share"))
+    # each share comes rounded to six places
+    return sums.withColumn("share", F.round("share", 3))
+
+
 @query("topdown_volume")
 def topdown_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store and department volumes: a Poisson model over lags of the totals, run recursively, one row per series."""
@@ -245,15 +326,23 @@ def softmax_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return renormalise(named).select("item_id", "store_id", "d", r6("share"))
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", with_panel("part", features_sql("(SELECT dept.* FROM dept, bounds WHERE d <= t)", "store_id, dept_id")) + f"""
+SELECT dept_id, count(*) AS n, round(avg(sales), 4) AS actual, 0 AS changed FROM feats
+WHERE {" AND ".join(f"{c} IS NOT NULL" for c in LAGGED)} GROUP BY dept_id""")
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A fitted model saved, loaded and used again."""
+    """A fitted model saved, loaded and used again: how many predictions the trip changed."""
     horizon = panel_horizon(spark, sf_dir)
     days = dept_days(panel_sales(spark, sf_dir), horizon.train_last)
     rows = cut_lineage(series_features(days, SERIES_KEYS).na.drop("any"))
     path = scratch_path(spark, "model")
-    train(rows, poisson_model(), LAGGED, SERIES_KEYS).write().save(path)
-    return _calibration(PipelineModel.load(path).transform(rows), "sales")
+    model = train(rows, poisson_model(), LAGGED, SERIES_KEYS)
+    model.write().save(path)
+    fitted = model.transform(rows).withColumnRenamed("prediction", "before").select(*rows.columns, "before")
+    both = PipelineModel.load(path).transform(fitted)
+    return both.groupBy("dept_id").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("sales"), 4).alias("actual"),
+        F.count_if(~F.col("before").eqNullSafe(F.col("prediction"))).alias("changed"),
+    )
 
 
 @query("tune_global")

@@ -159,8 +159,8 @@ def panel_prices(sales: DataFrame, horizon: Horizon) -> DataFrame:
 
 
 def dept_days(sales: DataFrame, last: int) -> DataFrame:
-    """Dense daily totals per store and department from day 1 to ``last``."""
-    daily = sales.groupBy("store_id", "dept_id", "d").agg(F.sum("sales").alias("sales"))
+    """Dense daily totals per store and department from day 1 to ``last``; later sales are not read."""
+    daily = sales.filter(F.col("d") <= last).groupBy("store_id", "dept_id", "d").agg(F.sum("sales").alias("sales"))
     return fill_days(daily, SERIES_KEYS, 1, last)
 
 

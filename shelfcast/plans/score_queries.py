@@ -300,6 +300,13 @@ def _dept_volumes(base: DataFrame) -> DataFrame:
     return sums.unpivot(["store_id", "dept_id", "h"], BASELINES, "forecast_model", "volume")
 
 
+def top_down_forecast(base: DataFrame, volumes: DataFrame) -> DataFrame:
+    """``base`` with ``yhat``: volumes spread by four-week shares; ids without a product keep last week's value."""
+    shares = _trailing_shares(base).select("id", F.col("share").alias("weight"), F.lit("share28").alias("weight_model"))
+    weights = base.select("id", "store_id", "dept_id", "h").join(shares, "id")
+    return distribute_volume(volumes, weights, base.withColumn("yhat", F.col("snaive7")))
+
+
 @query("top_down", with_panel("part", SHARES_SQL) + """
 SELECT b.id, b.h, round(coalesce(share * sum(mean28) OVER (PARTITION BY b.store_id, b.dept_id, b.h), snaive7), 6) AS yhat
 FROM base b JOIN shares s ON s.id = b.id""")
@@ -307,10 +314,7 @@ def top_down(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A department forecast spread over its items; ids without a product keep the sample's value."""
     base = baseline_forecasts(spark, sf_dir)
     volumes = _dept_volumes(base).filter("forecast_model = 'mean28'")
-    weights = base.select("id", "store_id", "dept_id", "h").join(_trailing_shares(base).select("id", F.col("share").alias("weight")), "id")
-    sample = base.select("id", "h", F.col("snaive7").alias("yhat"))
-    filled = distribute_volume(volumes, weights.withColumn("weight_model", F.lit("share28")), sample)
-    return filled.select("id", "h", r6("yhat"))
+    return top_down_forecast(base, volumes).select("id", "h", r6("yhat"))
 
 
 @query("top_down_pairs", with_panel("brand", SHARES_SQL) + """
