@@ -11,7 +11,7 @@ from shelfcast.operators.projection import distinct_values, one_hot
 from shelfcast.operators.reshape import item_matrix
 from shelfcast.operators.seasonal import CHUNK, design, fit_predict, forecast_series, random_candidates, score_candidates
 from shelfcast.plans.catalog import QUERIES
-from shelfcast.plans.panel import KEYS, panel_grid, panel_horizon, panel_sales, week_of
+from shelfcast.plans.panel import KEYS, dept_days, panel_grid, panel_horizon, panel_sales, week_of
 from shelfcast.plans.score_queries import BASELINES, score_history
 
 
@@ -132,3 +132,9 @@ def test_rows_are_not_shuffled_on_few_groups(spark, small):
     plan = QUERIES["stack_apply"](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert not any("hashpartitioning(store_id" in line and "dept_id" in line for line in plan.splitlines() if "Exchange" in line)
+
+
+def test_totals_read_no_day_past_their_last(spark):
+    sales = spark.createDataFrame([("A", "x", 1, 2.0), ("A", "x", 3, 5.0), ("A", "x", 9, 7.0)], "store_id string, dept_id string, d int, sales double")
+    rows = dept_days(sales, 4).orderBy("d").collect()
+    assert [(r.d, r.sales) for r in rows] == [(1, 2.0), (2, 0.0), (3, 5.0), (4, 0.0)]
