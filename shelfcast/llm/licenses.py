@@ -3,13 +3,13 @@
 Templates are short licence notices; their words are the licence words.  A first
 pass keeps, per document, the number of words and the positions of its licence
 words.  Document frequencies of those words give their IDF.  A document is
-looked at further if it has the rarest word of some template.  Its licence words
+looked at further if it has the rarest mandatory word of some template, which no
+alignment that counts can lack.  Its licence words
 are looked up in the postings (word: template, position); a posting puts the
 template at ``document position - template position``, and hits that agree on it
-are added up.  An alignment counts when it holds one of the document's
-``SEEDS`` highest-IDF licence words and every word of the template's mandatory
-phrases; the score is the share of the template's IDF that it matches.  The base
-phrases are templates that are mandatory as a whole and need no seed.
+are added up.  An alignment counts when it holds every word of the template's
+mandatory phrases; the score is the share of the template's IDF that it matches.
+The base phrases are templates that are mandatory as a whole.
 
 Defined results: a NULL text counts as empty.  Documents without a licence have
 no labels (empty strings), score 0, and NULL first and last words.  Repeated
@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from shelfcast.llm.common import fold_case, let, store
 
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Only the SQL has this bound on notices; the scan has none.
 SEEDS = 4
 
 # Base phrases and their labels.
@@ -97,8 +98,7 @@ def scan_licences(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     frequency = rows.select(F.explode(F.array_distinct("hits.word")).alias("word")).groupBy("word").count()
     seen = dict(frequency.collect())  # one number per licence word
     weight = {w: 1 + round(1e6 * math.log((total + 1) / (seen.get(w, 0) + 1))) for w in vocabulary}
-    rare = sorted({min(words, key=lambda w: (seen.get(w, 0), w)) for _, _, _, words, _ in known})
-    ranked = sorted(vocabulary, key=lambda w: (-weight[w], w))
+    rare = sorted({min((words[k] for k in must), key=lambda w: (seen.get(w, 0), w)) for _, _, _, words, must in known})
 
     spark = docs.sparkSession
     postings = spark.createDataFrame(
@@ -109,20 +109,17 @@ def scan_licences(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Da
         [(n, base, label, sum(weight[w] for w in words), len(must)) for n, base, label, words, must in known],
         "template int, is_base boolean, label string, full long, needed int",
     )
-    # the file's licence words from the rarest on: the vocabulary in order of IDF, cut down to what the file has
-    in_order = F.array(*[F.lit(w) for w in ranked])
     looked_at = (
         rows.filter(F.exists("hits", lambda h: h["word"].isin(rare)))
-        .withColumn("seeds", F.slice(F.array_intersect(in_order, F.col("hits.word")), 1, SEEDS))
-        .select("_row", "seeds", F.explode("hits").alias("h"))
-        .select("_row", "h.at", "h.word", F.array_contains("seeds", F.col("h.word")).alias("is_seed"))
+        .select("_row", F.explode("hits").alias("h"))
+        .select("_row", "h.at", "h.word")
     )
     placed = (
         looked_at.join(F.broadcast(postings), "word")
         .groupBy("_row", "template", (F.col("at") - F.col("template_at")).alias("start"))
-        .agg(F.sum("weight").alias("matched"), F.sum(F.col("must").cast("int")).alias("verified"), F.max("is_seed").alias("seeded"))
+        .agg(F.sum("weight").alias("matched"), F.sum(F.col("must").cast("int")).alias("verified"))
         .join(F.broadcast(facts), "template")
-        .filter((F.col("verified") == F.col("needed")) & (F.col("is_base") | F.col("seeded")))
+        .filter(F.col("verified") == F.col("needed"))
     )
     base_start = F.when(F.col("is_base"), F.col("start"))
     found = placed.groupBy("_row").agg(

@@ -173,6 +173,27 @@ def test_licences(spark):
     assert labels[0] == "cc-by,cc-by-nc" and labels[1] == "gpl,gpl-3.0" and labels[3] == "" and labels[4] == "apache"
 
 
+def test_every_notice_of_a_bundle_is_found(spark):
+    """However common its words are and however many notices or ordinary words stand beside it."""
+    known = licenses.templates()
+    own = [(label, " ".join(words)) for _, is_base, label, words, _ in known if not is_base]
+    every = {label for _, _, label, _, _ in known}
+    texts = ["\n\n".join(notice for _, notice in own), "\n\n".join(notice for _, notice in own[::-1])]
+    filler = " ".join(["and are source forms with any use to in or is"] * 200)
+    texts += [f"{filler} {notice}. {filler}" for _, notice in own]
+    by_label = dict(own)
+    texts += [f"{by_label['apache-2.0']}\n{by_label['bsd']}", "lesser general public license"]
+    rows = [(k, t) for k, t in enumerate(texts)]
+    common = ["gnu general public license", "apache license", "mit license"]
+    rows += [(-k, common[k % 3]) for k in range(1, 3001)]
+    got = {g.doc_id: set(g.labels.split(",")) for g in licenses.scan_licences(
+        spark.createDataFrame(rows, "doc_id long, text string")).filter("doc_id >= 0").collect()}
+    assert got[0] == every and got[1] == every
+    for k, (label, _) in enumerate(own):
+        assert label in got[2 + k], label
+    assert got[2 + len(own)] >= {"apache-2.0", "bsd"} and got[3 + len(own)] == {"lgpl"}
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], SCHEMA)
     for made in (
