@@ -1,14 +1,15 @@
 """Personal data: fixed patterns, and a semi-Markov conditional random field that adds what they miss.
 
 The patterns (email, ip, card, phone) are searched with linear scans.  The field
-works on windows of tokens around digits, ``@`` and bracketed ``at``: every run
+works on windows of tokens around digits, ``@``, bracketed ``at``, and the word
+``at`` before a dotted host or, within five words, ``dot``: every run
 of up to LONGEST tokens is a candidate segment with features of the whole span
-(shape, digits, checksum, number range, neighbours), and dynamic programming
+(shape, digits, checksum, number range, form of an address, neighbours), and dynamic programming
 over segment ends chooses boundaries and kinds jointly.  Its weights are learned
 by gradient steps on the conditional likelihood; the labels are the pattern
 spans of at most ``windows`` windows, drawn by hash, the one bounded sample;
 each is also shown in disguises (``at`` for ``@``, ``[.]`` for a dot, 00 for a
-plus) with the same labels.  A decoded segment is added when its posterior
+plus; addresses also shortened to letters) with the same labels.  A decoded segment is added when its posterior
 probability is at least ``SURE`` and it overlaps no pattern span.
 
 Defined results: a NULL text counts as empty: no spans.  Without any labelled
@@ -47,8 +48,18 @@ WINDOWS = 400
 SURE = 0.9
 FEATURES = 1 << 13
 TOKEN = re.compile(r"[A-Za-z0-9]+|[^A-Za-z0-9]")
-TRIGGER = re.compile(r"[0-9@]|[(\[{]\s?at\s?[)\]}]")
-DIGIT_OR_AT = "[0-9@]|[(\\[{][ ]?at[ ]?[)\\]}]"
+# Read alike by Python and Java.  Words have 63 letters at most, as host names do, so a look ahead is bounded.
+DIGIT_OR_AT = r"[0-9@]|[(\[{]\s?at\s?[)\]}]"
+SPOKEN = (
+    r"(?<![A-Za-z0-9])[Aa][Tt](?=[\x20\t]{1,3}[A-Za-z0-9-]{1,63}\.[A-Za-z0-9]"
+    r"|(?:[^A-Za-z0-9\n]{1,3}[A-Za-z0-9]{1,63}){1,4}[^A-Za-z0-9\n]{1,3}[Dd][Oo][Tt](?![A-Za-z0-9]))"
+)
+TRIGGER = re.compile(f"{DIGIT_OR_AT}|{SPOKEN}")
+
+# An address, also with its marks in brackets or in words.
+AT = r"(?:@|\s*[(\[{]\s?at\s?[)\]}]\s*|\s+at\s+)"
+DOT = r"(?:\.|\s*[(\[{]\s?(?:dot|\.)\s?[)\]}]\s*|\s+dot\s+)"
+ADDRESS = re.compile(rf"(?i)[a-z0-9_%+-]+(?:{DOT}[a-z0-9_%+-]+)*{AT}[a-z0-9-]+(?:{DOT}[a-z0-9-]+)+")
 
 Span = tuple[int, int, int]  # start, end, number of the kind
 
@@ -129,9 +140,11 @@ def segment_features(text: str, before: str, after: str, tokens: int) -> list[in
     facts = [
         "bias", f"form {form[:40]}", f"loose {loose[:40]}", f"digits {min(20, len(digits))}",
         f"before {shape(before)[-1:]}", f"after {shape(after)[:1]}", f"first {form[:1]}", f"last {form[-1:]}",
-        f"at {'@' in text or bool(re.search(r'[^a-z]at[^a-z]', text))}", f"tokens {tokens}",
+        f"at {'@' in text or bool(re.search(r'(?i)[^a-z]at[^a-z]', text))}", f"tokens {tokens}",
         f"letters {bool(re.search('[A-Za-z]', text))}",
     ]
+    if ADDRESS.fullmatch(text):
+        facts.append("address")
     if 14 <= len(digits) <= 19:
         facts.append(f"luhn {luhn(digits)} {'a' in form}")
     if len(numbers) == 4:
@@ -146,7 +159,7 @@ class Lattice:
         self.marks = [m.start() for m in TOKEN.finditer(text)] + [len(text)]
         n = len(self.marks) - 1
         token = [text[a:b] for a, b in zip(self.marks, self.marks[1:])]
-        busy = [bool(re.search(r"[0-9@]", t)) or t == "at" for t in token]
+        busy = [bool(re.search(r"[0-9@]", t)) or t.lower() == "at" for t in token]
         self.segments: list[tuple[int, int]] = []
         features = []
         for s in range(n):
@@ -213,14 +226,23 @@ class Lattice:
         return out[::-1]
 
 
+def short_address(own: str) -> str:
+    """A name and a host of two labels, in letters alone, as in most addresses that are spelt out."""
+    name, host = own.split("@")
+    parts = [re.sub(r"[^A-Za-z]", "", p) or "a" for p in [name, *host.split(".")[-2:]]]
+    return f"{parts[0]}@{parts[1]}.{parts[2]}"
+
+
 def disguised(text: str, spans: list[Span], how: int) -> tuple[str, list[Span]]:
-    """The window with its spans written another way, and where they are then."""
+    """The window with its spans written another way, and where they are then; from 3 on with short addresses."""
     out, moved, done = "", [], 0
+    short, how = how >= 3, how % 3
     for s, e, kind in spans:
         if s < done:
             continue
         own = text[s:e]
         if kind == 0:
+            own = short_address(own) if short else own
             own = own.replace("@", [" at ", "(at)", "[at]"][how]).replace(".", [" dot ", ".", "[dot]"][how])
         elif kind == 1:
             own = own.replace(".", ["[.]", "(.)", " . "][how])
@@ -235,13 +257,17 @@ def disguised(text: str, spans: list[Span], how: int) -> tuple[str, list[Span]]:
     return out + text[done:], moved
 
 
+def ways(spans: list[Span]) -> int:
+    return 6 if any(kind == 0 for *_, kind in spans) else 3 if spans else 0
+
+
 def fit(samples: list[tuple[str, list[Span]]], epochs: int = 6, rate: float = 0.3, seed: int = 0) -> np.ndarray:
     """Weights ``(kind, feature)``, learned from windows and their spans."""
     weights = np.zeros((len(KINDS), FEATURES + 1))
     weights[:, zlib.crc32(b"bias") % FEATURES] = -4.0
     ready = []
     for text, spans in samples:
-        for own, marked in [(text, spans), *(disguised(text, spans, how) for how in range(3) if spans)]:
+        for own, marked in [(text, spans), *(disguised(text, spans, how) for how in range(ways(spans)))]:
             lattice = Lattice(own)
             place = {mark: k for k, mark in enumerate(lattice.marks)}
             number = {seg: k for k, seg in enumerate(lattice.segments)}
@@ -315,7 +341,7 @@ def train(docs: DataFrame, id: str = "doc_id", text: str = "text", windows: int
             yield pd.DataFrame(rows, columns=["text", "spans"])
 
     found = (
-        docs.select(F.col(text).alias("text")).filter(F.col("text").rlike(DIGIT_OR_AT))
+        docs.select(F.col(text).alias("text")).filter(F.col("text").rlike(TRIGGER.pattern))
         .mapInPandas(labelled, "text string, spans array<array<int>>")
     )
     drawn = found.dropDuplicates(["text"]).orderBy(F.xxhash64("text"), "text").limit(windows)

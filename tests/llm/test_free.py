@@ -312,6 +312,29 @@ def test_personal_data(spark, docs, rows, small):
         assert set(filter(None, pii.written(base).split(","))) <= set(g.spans.split(","))
 
 
+def mails(count, seed=0):
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(3, 8)))
+    return [f"{word()} {word()} {word()} {word()}.{r.randint(0, 99)}@mail{r.randint(0, 9)}.{word()}.com {word()} {word()}" for _ in range(count)]
+
+
+def test_spoken_addresses_open_windows():
+    for text in ("write to jane at example dot com", "write to jane at example.com please", "jane AT mail DOT example DOT org"):
+        assert pii.windows_of(text) == [(0, len(text))]
+    for text in ("we met at noon. Then we left", "look at that", "attic dot com", "at home\nthe dot"):
+        assert pii.windows_of(text) == []
+    for text in ("at " * 100_000, "at a " * 100_000, "at" + "-" * 200_000, "at " + "a" * 200_000):
+        assert pii.TRIGGER.search(text) is None
+
+
+def test_spoken_address_in_a_text_without_digits_is_found(spark):
+    spoken = "please write to jane at example dot com for more"
+    rows = [(k, t) for k, t in enumerate(mails(120))] + [(-1, spoken), (-2, "we looked at the red dot on the wall")]
+    got = {g.doc_id: g.spans for g in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    at = spoken.index("jane")
+    assert got[-1] == f"email:{at}:{at + len('jane at example dot com')}" and got[-2] == ""
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], SCHEMA)
     model = langid.train(docs)
