@@ -7,7 +7,9 @@ of up to LONGEST tokens is a candidate segment with features of the whole span
 (shape, digits, checksum, number range, form of an address, neighbours), and dynamic programming
 over segment ends chooses boundaries and kinds jointly.  Its weights are learned
 by gradient steps on the conditional likelihood; the labels are the pattern
-spans of at most ``windows`` windows, drawn by hash, the one bounded sample;
+spans of a sample of windows drawn by hash, the one bounded sample: the bound
+holds per kind, at most ``per_kind`` windows with a span of each kind and
+``windows`` without any, so rare kinds are not crowded out by other numbers;
 each is also shown in disguises (``at`` for ``@``, ``[.]`` for a dot, 00 for a
 plus; addresses also shortened to letters) with the same labels.  A decoded segment is added when its posterior
 probability is at least ``SURE`` and it overlaps no pattern span.
@@ -44,7 +46,9 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LONGEST = 16
 # Tokens decoded at a time, so that memory does not follow a long run of numbers.
 STRETCH = 2048
+# Windows without a span, and windows with a span of each kind, that the field learns from.
 WINDOWS = 400
+PER_KIND = 100
 SURE = 0.9
 FEATURES = 1 << 13
 TOKEN = re.compile(r"[A-Za-z0-9]+|[^A-Za-z0-9]")
@@ -329,24 +333,46 @@ def added_spans(text: str, base: list[Span], weights: np.ndarray) -> list[Span]:
     return out
 
 
-def train(docs: DataFrame, id: str = "doc_id", text: str = "text", windows: int = WINDOWS) -> np.ndarray:
+def train(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", windows: int = WINDOWS, per_kind: int = PER_KIND
+) -> np.ndarray:
+    limits = [per_kind] * len(KINDS) + [windows]
+
     def labelled(batches):
+        # the least hashes of a task hold those of all that it can add to the sample
+        least: list[dict[str, tuple[int, list[Span]]]] = [{} for _ in limits]
+
+        def cut(k: int) -> None:
+            least[k] = dict(sorted(least[k].items(), key=lambda x: (x[1][0], x[0]))[:limits[k]])
+
         for frame in batches:
-            rows = []
             for own in frame["text"]:
                 for a, b in windows_of(own):
+                    if b - a > 600:
+                        continue
                     part = own[a:b]
-                    if b - a <= 600:
-                        rows.append((part, [list(s) for s in base_spans(part)]))
-            yield pd.DataFrame(rows, columns=["text", "spans"])
+                    spans = base_spans(part)
+                    order = int.from_bytes(hashlib.blake2b(part.encode("utf-8", "replace"), digest_size=8).digest(), signed=True)
+                    for k in {kind for *_, kind in spans} or {len(KINDS)}:
+                        least[k][part] = (order, spans)
+                        if len(least[k]) > 2 * limits[k] + 100:
+                            cut(k)
+        rows = []
+        for k in range(len(limits)):
+            cut(k)
+            rows += [(k, order, part, [list(s) for s in spans]) for part, (order, spans) in least[k].items()]
+        yield pd.DataFrame(rows, columns=["stratum", "order", "text", "spans"])
 
-    found = (
+    found = store(
         docs.select(F.col(text).alias("text")).filter(F.col("text").rlike(TRIGGER.pattern))
-        .mapInPandas(labelled, "text string, spans array<array<int>>")
+        .mapInPandas(labelled, "stratum int, order long, text string, spans array<array<int>>"),
+        "pii-windows",
     )
-    drawn = found.dropDuplicates(["text"]).orderBy(F.xxhash64("text"), "text").limit(windows)
-    rows = sorted(store(drawn, "pii-sample").collect())
-    return fit([(r["text"], [tuple(s) for s in r["spans"]]) for r in rows])
+    drawn = {}
+    for k, limit in enumerate(limits):
+        rows = found.filter(F.col("stratum") == k).dropDuplicates(["text"]).orderBy("order", "text").limit(limit)
+        drawn |= {r["text"]: [tuple(s) for s in r["spans"]] for r in rows.collect()}
+    return fit(sorted(drawn.items()))
 
 
 def written(spans: list[Span]) -> str:

@@ -335,6 +335,18 @@ def test_spoken_address_in_a_text_without_digits_is_found(spark):
     assert got[-1] == f"email:{at}:{at + len('jane at example dot com')}" and got[-2] == ""
 
 
+def test_rare_kinds_are_learned_from_beside_many_numbers(spark, monkeypatch):
+    rows = [(k, f"row {k} holds {k * 7919} units") for k in range(4000)] + [(-k - 1, t) for k, t in enumerate(mails(20))]
+    seen = []
+    monkeypatch.setattr(pii, "fit", lambda samples: seen.extend(samples))
+    pii.train(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    assert sum(any(kind == 0 for *_, kind in spans) for _, spans in seen) == 20
+    assert sum(not spans for _, spans in seen) == pii.WINDOWS
+    again, seen[:] = list(seen), []
+    pii.train(spark.createDataFrame(rows, "doc_id long, text string").repartition(2))
+    assert seen == again
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], SCHEMA)
     model = langid.train(docs)
