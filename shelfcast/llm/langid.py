@@ -11,9 +11,11 @@ language (all of a rarer one): the one bounded step, since a linear model of fou
 gains nothing from more.  The executors turn sampled texts into bucket counts,
 so the driver holds ``per_language x languages x BUCKETS`` numbers at most.  A
 fifth of the sample is kept from training and sets the temperature of the
-softmax and the rejection level: the level that at most ``loss`` of the texts of
-that fifth fall under, at their true language.  Whole texts are predicted where
-they lie.
+softmax.  The rejection level is the one that a share ``loss`` of texts fall
+under with the score of their best language: counted over all labelled texts
+outside the sample, in bins of the score; where these are fewer than
+``1 / loss``, taken from a normal law of the log-odds of that fifth.  Whole
+texts are predicted where they lie.
 
 Defined results: a NULL text and one without a letter give ``und``, score 0, and
 are rejected.  A NULL id is read as an empty text for the fold.  Without any
@@ -23,7 +25,8 @@ labelled text everything is ``und``.  Repeated rows are predicted alike.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -37,6 +40,8 @@ PER_LANGUAGE = 500
 BUCKETS = 1 << 14
 WIDTH = 16
 LOSS = 0.002
+# Bins of the score when the level is counted.
+BINS = 10_000
 # A small sample is gone over more often.
 LEAST_STEPS = 8000
 # Bytes hashed at a time, so that memory does not follow the longest text.
@@ -94,6 +99,16 @@ class Model:
         return self.languages[k], float(p[k]), bool(p[k] >= self.level)
 
 
+def level_of(scores: np.ndarray, loss: float) -> float:
+    """The score that a share ``loss`` of texts fall under; few texts do not show it, so their log-odds are taken as normal."""
+    if len(scores) * loss >= 1:
+        return float(np.sort(scores)[int(loss * len(scores))])
+    p = np.clip(scores, 1e-9, 1 - 1e-9)
+    odds = np.log(p / (1 - p))
+    low = odds.mean() + NormalDist().inv_cdf(loss) * odds.std()
+    return float(1 / (1 + np.exp(-low)))
+
+
 def fit(
     samples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 0, epochs: int = 5, rate: float = 10.0,
     loss: float = LOSS,
@@ -134,8 +149,8 @@ def fit(
         wrong = np.log(p).sum(1) - np.log(p[rows, true])
         nll = -((1 - slack) * np.log(p[rows, true]) + slack * wrong / max(1, len(languages) - 1)).sum()
         best = min(best, (float(nll), float(t)))
-    own = np.sort(softmax(logits / best[1])[rows, true]) if check else np.zeros(1)
-    return Model(languages, table, bias, best[1], min(0.5, float(own[int(loss * len(own))])))
+    level = level_of(softmax(logits / best[1]).max(1), loss) if check else 0.0
+    return Model(languages, table, bias, best[1], level)
 
 
 def held_out(id: Column) -> Column:
@@ -170,7 +185,23 @@ def train(
     )
     # collected in a fixed order, so that reruns train alike
     found = sorted(store(rows, "langid-sample").collect(), key=lambda r: (r["order"], r["lang"]))
-    return fit([(r["lang"], np.array(r["buckets"], dtype=np.int64), np.array(r["counts"])) for r in found], seed)
+    model = fit([(r["lang"], np.array(r["buckets"], dtype=np.int64), np.array(r["counts"])) for r in found], seed)
+    rest = labelled.join(sizes, "lang").filter(drawn >= F.lit(float(per_language)) / F.col("n"))
+    return replace(model, level=counted_level(rest, model, LOSS))
+
+
+def counted_level(rest: DataFrame, model: Model, loss: float) -> float:
+    """The level from the scores of texts (``text``) that the model has not seen, or its own where they are few."""
+    scored = rest.select(predicted(F.col("text"), model).alias("p")).filter(F.col("p.lang") != UNKNOWN)
+    bins = scored.groupBy(F.floor(F.col("p.score") * BINS).alias("bin")).count().collect()  # BINS rows at most
+    below, total = 0, sum(r["count"] for r in bins)
+    if total * loss < 1:
+        return model.level
+    for r in sorted(bins, key=lambda r: r["bin"]):
+        below += r["count"]
+        if below > loss * total:
+            return r["bin"] / BINS
+    return model.level
 
 
 def predicted(text: Column, model: Model) -> Column:

@@ -215,6 +215,27 @@ def test_language_is_blind_to_held_out_labels(spark, small):
     assert a.languages == b.languages and np.array_equal(a.table, b.table) and a.level == b.level
 
 
+def spelt(r, letters, count):
+    return [" ".join("".join(r.choice(letters) for _ in range(r.randint(2, 7))) for _ in range(60)) for _ in range(count)]
+
+
+@pytest.mark.parametrize("languages,count", [(2, 150), (2, 1500), (4, 1500)])
+def test_language_rejects_gibberish_and_unseen_languages(spark, languages, count):
+    r = random.Random(6)
+    alphabets = ["aeioulmnr", "stkpuyvae", "bcdfgohiz", "wxqjenart"][:languages]
+    rows = [(t, f"l{k}") for k, a in enumerate(alphabets) for t in spelt(r, a, count)]
+    rows[0] = (rows[0][0], f"l{languages - 1}")  # a wrong label
+    rows += [(spelt(r, "abcdefghijklmnopqrstuvwxyz", 1)[0], "l0")] * (count > 1000)  # and a text without a language
+    r.shuffle(rows)
+    docs = [(k, t, lang) for k, (t, lang) in enumerate(rows)]
+    model = langid.train(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    clean = [model.predict(t) for a in alphabets for t in spelt(r, a, 100)]
+    assert sum(ok for *_, ok in clean) / len(clean) > 0.97
+    # random letters, and a language of other letters
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "αβγδεζηθικλ"):
+        assert sum(ok for *_, ok in map(model.predict, spelt(r, letters, 100))) <= 5
+
+
 PATTERNS = [
     re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
     re.compile(r"[0-9]([\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
