@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.llm import exact_dedup, langid, licenses, mixing, packing, pii, ring_shards, simhash, suffix_dedup, syncmers
-from shelfcast.llm.common import documents
+from shelfcast.llm import (
+    decontaminate, exact_dedup, filter_audit, langid, licenses, mixing, packing, pii, prefix_trie, ring_shards, simhash,
+    suffix_dedup, syncmers,
+)
+from shelfcast.llm.common import documents, table
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,10 +29,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": lambda spark, sf_dir: packing.packed(documents(spark, sf_dir)),
     "op9_language_id": op9_language_id,
     "op10_pii": lambda spark, sf_dir: pii.personal_data(documents(spark, sf_dir)),
+    "op11_decontamination": lambda spark, sf_dir: decontaminate.contamination(
+        documents(spark, sf_dir), table(spark, sf_dir, "benchmark")),
+    "op12_prefix_trie": lambda spark, sf_dir: prefix_trie.prefix_trie(table(spark, sf_dir, "conversations")),
+    "op13_filter_audit": lambda spark, sf_dir: filter_audit.audit(
+        documents(spark, sf_dir), table(spark, sf_dir, "labels")),
 }
 
 ORACLES: dict[str, str] = {
     "op7_licenses": licenses.SQL,
+    "op11_decontamination": decontaminate.SQL,
+    "op12_prefix_trie": prefix_trie.SQL,
+    "op13_filter_audit": filter_audit.SQL,
     "op2_exact_dedup": r"""
 WITH t AS (
     SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
