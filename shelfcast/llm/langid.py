@@ -8,14 +8,19 @@ languages.  Both are trained together by stochastic gradient descent in numpy.
 Only documents whose ``crc32(id as text) % 4`` is not 2 and that have a
 language are learned from, of those a sample of about ``per_language`` for each
 language (all of a rarer one): the one bounded step, since a linear model of four languages
-gains nothing from more.  The executors turn sampled texts into bucket counts,
-so the driver holds ``per_language x languages x BUCKETS`` numbers at most.  A
-fifth of the sample is kept from training and sets the temperature of the
-softmax.  The rejection level is the one that a share ``loss`` of texts fall
-under with the score of their best language: counted over all labelled texts
-outside the sample, in bins of the score; where these are fewer than
-``1 / loss``, taken from a normal law of the log-odds of that fifth.  Whole
-texts are predicted where they lie.
+gains nothing from more.  The sample has about SAMPLE texts in all, so a corpus
+of very many languages has fewer of each, and the LANGUAGES most frequent ones
+are learned (of equally frequent ones the first by name).  The executors turn
+sampled texts into bucket counts, packed as 2 bytes for a bucket and 4 for its
+count, so the driver holds ``SAMPLE x BUCKETS x 6`` bytes at most, and as a rule
+a tenth of that.  A fifth of the sample is kept from training and sets the
+temperature of the softmax.  The rejection level is the one that a share
+``loss`` of texts fall under with the score of their best language: counted over
+all labelled texts outside the sample, in bins of the score; where these are
+fewer than ``1 / loss``, taken from a normal law of the log-odds of that fifth.
+Whole texts are predicted where they lie.  ``identified_once`` and
+``keep_once`` learn, predict each text once into a table, and take the level
+from that table.
 
 Defined results: a NULL text and one without a letter give ``und``, score 0, and
 are rejected.  A NULL id is read as an empty text for the fold.  Without any
@@ -37,6 +42,8 @@ from shelfcast.llm.common import fresh, store
 
 UNKNOWN = "und"
 PER_LANGUAGE = 500
+SAMPLE = 4000
+LANGUAGES = 1000
 BUCKETS = 1 << 14
 WIDTH = 16
 LOSS = 0.002
@@ -157,43 +164,70 @@ def held_out(id: Column) -> Column:
     return F.crc32(F.coalesce(id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
+def drawn(id: Column, text: Column, seed: int) -> Column:
+    return hashed_uniform(F.coalesce(id.cast("string"), F.lit("")), F.xxhash64(text), seed=seed)
+
+
+def is_labelled(id: Column, text: Column, lang: Column) -> Column:
+    return text.isNotNull() & lang.isNotNull() & ~held_out(id)
+
+
+def language_rates(docs: DataFrame, id: str, text: str, lang: str, per_language: int) -> DataFrame:
+    """``learned, rate``: the languages that are learned, LANGUAGES at most, and the share of their texts that is drawn."""
+    sizes = docs.filter(is_labelled(F.col(id), F.col(text), F.col(lang))).groupBy(
+        F.col(lang).cast("string").alias("learned")).agg(F.count(F.lit(1)).alias("n"))
+    kept = store(sizes.orderBy(F.desc("n"), "learned").limit(LANGUAGES), "langid-sizes")
+    each = max(1, min(per_language, SAMPLE // max(1, kept.count())))
+    return kept.select("learned", (F.lit(float(each)) / F.col("n")).alias("rate"))
+
+
+def featured(batches):
+    """Sampled texts as packed bucket counts."""
+    for frame in batches:
+        rows = []
+        for key, language, own in zip(frame["order"], frame["lang"], frame["text"]):
+            if has_letter(own):
+                counts = bucket_counts(own)
+                at = np.flatnonzero(counts)
+                rows.append((key, language, at.astype("<u2").tobytes(), counts[at].astype("<f4").tobytes()))
+        yield pd.DataFrame(rows, columns=["order", "lang", "buckets", "counts"])
+
+
+def fitted(docs: DataFrame, rates: DataFrame, id: str, text: str, lang: str, seed: int) -> Model:
+    """The model, with the level of its own check fold."""
+    own = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).filter(
+        is_labelled(F.col("id"), F.col("text"), F.col("lang")))
+    # at most LANGUAGES rows, so the texts stay where they are
+    sample = own.join(F.broadcast(rates), F.col("lang") == F.col("learned")).filter(
+        drawn(F.col("id"), F.col("text"), seed) < F.col("rate"))
+    rows = sample.select(F.xxhash64("id", "text").alias("order"), "lang", "text").mapInPandas(
+        featured, "order long, lang string, buckets binary, counts binary")
+    # collected in a fixed order, so that reruns train alike
+    found = store(rows, "langid-sample").orderBy("order", "lang").drop("order").toArrow()
+    unpack = lambda column, kind: [np.frombuffer(v.as_buffer(), kind) for v in found.column(column)]
+    return fit(list(zip(found.column("lang").to_pylist(), unpack("buckets", "<u2"), unpack("counts", "<f4"))), seed)
+
+
 def train(
     docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE,
     seed: int = 0,
 ) -> Model:
-    labelled = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).filter(
-        F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id"))
-    )
-    # a stored table's bytes are known, so a few languages are broadcast and the texts stay where they are
-    sizes = store(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "langid-sizes")
-    drawn = hashed_uniform(F.coalesce(F.col("id").cast("string"), F.lit("")), F.xxhash64("text"), seed=seed)
-    sample = labelled.join(sizes, "lang").filter(drawn < F.lit(float(per_language)) / F.col("n"))
-
-    def featured(batches):
-        for frame in batches:
-            rows = []
-            for key, language, own in zip(frame["order"], frame["lang"], frame["text"]):
-                if has_letter(own):
-                    counts = bucket_counts(own)
-                    at = np.flatnonzero(counts)
-                    rows.append((key, language, at.tolist(), counts[at].tolist()))
-            yield pd.DataFrame(rows, columns=["order", "lang", "buckets", "counts"])
-
-    rows = (
-        sample.select(F.xxhash64("id", "text").alias("order"), "lang", "text")
-        .mapInPandas(featured, "order long, lang string, buckets array<int>, counts array<float>")
-    )
-    # collected in a fixed order, so that reruns train alike
-    found = sorted(store(rows, "langid-sample").collect(), key=lambda r: (r["order"], r["lang"]))
-    model = fit([(r["lang"], np.array(r["buckets"], dtype=np.int64), np.array(r["counts"])) for r in found], seed)
-    rest = labelled.join(sizes, "lang").filter(drawn >= F.lit(float(per_language)) / F.col("n"))
-    return replace(model, level=counted_level(rest, model, LOSS))
+    rates = language_rates(docs, id, text, lang, per_language)
+    model = fitted(docs, rates, id, text, lang, seed)
+    rest = docs.select(F.col(text).alias("text"), unseen(id, text, lang, seed).alias("labelled"), F.col(lang).cast("string").alias("learned"))
+    scored = rest.filter("labelled IS NOT NULL").join(F.broadcast(rates), "learned").filter("labelled >= rate")
+    return replace(model, level=counted_level(scored.select(predicted(F.col("text"), model).alias("p")), model, LOSS))
 
 
-def counted_level(rest: DataFrame, model: Model, loss: float) -> float:
-    """The level from the scores of texts (``text``) that the model has not seen, or its own where they are few."""
-    scored = rest.select(predicted(F.col("text"), model).alias("p")).filter(F.col("p.lang") != UNKNOWN)
-    bins = scored.groupBy(F.floor(F.col("p.score") * BINS).alias("bin")).count().collect()  # BINS rows at most
+def unseen(id: str, text: str, lang: str, seed: int) -> Column:
+    """A labelled text's draw, to be compared with its language's rate; NULL for the others."""
+    return F.when(is_labelled(F.col(id), F.col(text), F.col(lang)), drawn(F.col(id), F.col(text), seed))
+
+
+def counted_level(scored: DataFrame, model: Model, loss: float) -> float:
+    """The level from the predictions (``p``) of texts that the model has not seen, or its own where they are few."""
+    known = scored.filter(F.col("p.lang") != UNKNOWN)
+    bins = known.groupBy(F.floor(F.col("p.score") * BINS).alias("bin")).count().collect()  # BINS rows at most
     below, total = 0, sum(r["count"] for r in bins)
     if total * loss < 1:
         return model.level
@@ -226,3 +260,37 @@ def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFr
     """The documents whose language is accepted, with all their columns."""
     name = fresh(docs.columns, "_language")
     return docs.withColumn(name, predicted(F.col(text), model)).filter(F.col(name)["accepted"]).select(*docs.columns)
+
+
+def predicted_once(
+    docs: DataFrame, columns: list[str], id: str, text: str, lang: str, seed: int,
+) -> tuple[DataFrame, str, Column]:
+    """Stored ``columns`` with each text's prediction; the name of that struct, and whether it is accepted."""
+    rates = language_rates(docs, id, text, lang, PER_LANGUAGE)
+    model = fitted(docs, rates, id, text, lang, seed)
+    name, draw, spoken = (fresh(docs.columns, n) for n in ("_language", "_draw", "_spoken"))
+    rows = store(
+        docs.select(
+            *[F.col(c) for c in columns], predicted(F.col(text), model).alias(name), unseen(id, text, lang, seed).alias(draw),
+            F.col(lang).cast("string").alias(spoken)),
+        "langid-scored",
+    )
+    rest = rows.select(F.col(name).alias("p"), F.col(draw).alias("draw"), F.col(spoken).alias("learned")).join(
+        F.broadcast(rates), "learned").filter("draw >= rate")
+    level = counted_level(rest, model, LOSS)
+    return rows, name, (F.col(name)["lang"] != UNKNOWN) & (F.col(name)["score"] >= level)
+
+
+def identified_once(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", seed: int = 0) -> DataFrame:
+    """What ``identified`` gives with the model of ``train`` on the same documents, with one prediction per text."""
+    rows, name, accepted = predicted_once(docs, [id], id, text, lang, seed)
+    return rows.select(
+        id, held_out(F.col(id)).alias("held_out"), F.col(name)["lang"].alias("lang_pred"), F.col(name)["score"].alias("score"),
+        accepted.alias("accepted"),
+    )
+
+
+def keep_once(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", seed: int = 0) -> DataFrame:
+    """What ``keep_identified`` gives with the model of ``train`` on the same documents, with one prediction per text."""
+    rows, _, accepted = predicted_once(docs, docs.columns, id, text, lang, seed)
+    return rows.filter(accepted).select(*docs.columns)

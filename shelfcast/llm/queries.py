@@ -13,11 +13,6 @@ from shelfcast.llm import (
 from shelfcast.llm.common import documents, table
 
 
-def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    return langid.identified(docs, langid.train(docs))
-
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_syncmers": lambda spark, sf_dir: syncmers.fingerprints(documents(spark, sf_dir)),
     "op2_exact_dedup": lambda spark, sf_dir: exact_dedup.exact_duplicates(documents(spark, sf_dir)),
@@ -27,7 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_suffix_dedup": lambda spark, sf_dir: suffix_dedup.remove_repeats(documents(spark, sf_dir)),
     "op7_licenses": lambda spark, sf_dir: licenses.scan_licences(documents(spark, sf_dir)),
     "op8_packing": lambda spark, sf_dir: packing.packed(documents(spark, sf_dir)),
-    "op9_language_id": op9_language_id,
+    "op9_language_id": lambda spark, sf_dir: langid.identified_once(documents(spark, sf_dir)),
     "op10_pii": lambda spark, sf_dir: pii.personal_data(documents(spark, sf_dir)),
     "op11_decontamination": lambda spark, sf_dir: decontaminate.contamination(
         documents(spark, sf_dir), table(spark, sf_dir, "benchmark")),

@@ -215,6 +215,65 @@ def test_language_is_blind_to_held_out_labels(spark, small):
     assert a.languages == b.languages and np.array_equal(a.table, b.table) and a.level == b.level
 
 
+def test_language_counts_by_a_plain_loop(rows):
+    def pieces(text):
+        spaced = "".join(c if c.isascii() and c.isalpha() or not c.isascii() else " " for c in text.lower())
+        return (" " + " ".join(spaced.encode().split(b" ")[0:0] or [w for w in spaced.split(" ") if w]) + " ").encode()
+
+    for text in ["", "a", "Être ou ne pas", "x1y2 z", "  tab\tand\nline ", "漢字 Ω≈"] + [r[1] for r in rows if r[1]][:20]:
+        data, counts = pieces(text) if text.strip() else b"  ", np.zeros(langid.BUCKETS)
+        for n in range(1, 5):
+            for k in range(len(data) - n + 1):
+                gram = 0
+                for b in data[k:k + n]:
+                    gram = (gram * 257 + b + 1) % 2**32
+                counts[(gram ^ gram >> 15) * 2246822519 % 2**32 >> 18] += 1
+        assert np.array_equal(langid.bucket_counts(text), counts), text
+
+
+def test_language_probabilities_are_those_of_averaged_embeddings():
+    r = np.random.default_rng(2)
+    embed, weight, bias = r.normal(size=(langid.BUCKETS, 5)), r.normal(size=(5, 3)), r.normal(size=3)
+    model = langid.Model(["a", "b", "c"], embed @ weight, bias, 0.7, 0.0)
+    counts = langid.bucket_counts("some words of a text")
+    mean = sum(c * embed[k] for k, c in enumerate(counts) if c) / counts.sum()
+    scores = np.exp((mean @ weight + bias) / 0.7)
+    assert np.allclose(model.probabilities(counts), scores / scores.sum())
+
+
+def test_language_level_against_sorted_scores(spark):
+    r = random.Random(8)
+    scores = [r.random() for _ in range(3000)] + [0.0]
+    table = spark.createDataFrame([((f"l{k % 3}", s, True),) for k, s in enumerate(scores)], "p struct<lang:string,score:double,accepted:boolean>")
+    model = langid.Model(["a"], None, None, 1.0, 0.123)
+    exact = sorted(scores)[int(0.01 * len(scores))]
+    assert abs(langid.counted_level(table, model, 0.01) - exact) <= 1 / langid.BINS
+    assert langid.counted_level(table.limit(50), model, 0.01) == 0.123
+
+
+def test_language_is_predicted_once_with_the_same_result(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").withColumns({"learned": F.lit(1), "_draw": F.lit("x")})
+    model = langid.train(docs)
+    once, twice = langid.identified_once(docs), langid.identified(docs, model)
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+    kept = langid.keep_once(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in langid.keep_identified(docs, model).collect())
+
+
+def test_language_sample_is_bounded_over_languages(spark):
+    r = random.Random(4)
+    rows = [(k, " ".join("".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(3)), f"l{k % 2000}") for k in range(8000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6)
+    rates = langid.language_rates(docs, "doc_id", "text", "lang", 500)
+    drawn = [x for x in rates.collect()]
+    assert len(drawn) == langid.LANGUAGES
+    assert rates.selectExpr("sum(rate * 6)").first()[0] < 4 * langid.SAMPLE
+    sizes = docs.filter(~langid.held_out(F.col("doc_id"))).groupBy("lang").count().collect()
+    best = sorted(((-s["count"], s.lang) for s in sizes))[:langid.LANGUAGES]
+    assert {x.learned for x in drawn} == {lang for _, lang in best}
+
+
 def spelt(r, letters, count):
     return [" ".join("".join(r.choice(letters) for _ in range(r.randint(2, 7))) for _ in range(60)) for _ in range(count)]
 

@@ -21,7 +21,7 @@ def test_query_equals_sql(spark, small, name):
     assert problem is None
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op12_prefix_trie", "op13_filter_audit"}))
 def test_query_has_a_row_per_document(spark, small, name):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     assert sorted(r.doc_id for r in QUERIES[name](spark, small).collect()) == sorted(r.doc_id for r in docs.collect())
