@@ -15,7 +15,7 @@ from shelfcast.llm.common import documents, store
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the model accepts."""
-    return langid.keep_identified(docs, langid.train(docs))
+    return langid.keep_once(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
