@@ -15,7 +15,8 @@ from shelfcast.operators.projection import mask_from, pick_by_group
 from shelfcast.operators.sampling import sample_rows, sample_stratified, sample_weighted, sample_with_replacement
 from shelfcast.operators.topdown import renormalise
 from shelfcast.operators.windows import (
-    age, amplitude_weight, growth_rates, lag_columns, last_days, recency_weight, rolling_columns, series_features,
+    age, amplitude_weight, growth_rates, lag_columns, last_days, recency_weight, series_features,
+    with_rolling_means,
 )
 from shelfcast.plans.panel import (
     BASELINES, SERIES_KEYS, baseline_forecasts, dept_days, panel_calendar, panel_grid, panel_horizon, panel_rates,
@@ -83,7 +84,7 @@ def lags(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("rolling_means", with_panel("part", features_sql("grid", "id")) + f"SELECT id, d, {ROUND_ROLLED} FROM feats")
 def rolling_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = panel_grid(spark, sf_dir, "part", rate=False)
-    return base.select("id", "d", *[r6(c, n) for n, c in rolling_columns(["id"], "d", "sales").items()])
+    return with_rolling_means(base, ["id"], "d", "sales").select("id", "d", *[r6(c) for c in ROLLED])
 
 
 @query("rolling_means_dept", with_panel("part", features_sql("dept", "store_id, dept_id")) + f"""

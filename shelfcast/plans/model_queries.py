@@ -13,9 +13,10 @@ from shelfcast.operators.evaluation import weighted_scores
 from shelfcast.operators.models import (
     importances, poisson_model, predictor, share_model, softmax_share_model, train, tree_model, tune, tweedie_model, unpenalised,
 )
-from shelfcast.operators.recursion import average_runs, recursive_forecast, seasonal_forecast, with_multipliers
+from shelfcast.operators.recursion import average_runs, recursive_forecast, seasonal_forecast
 from shelfcast.operators.reshape import pivot_steps
 from shelfcast.operators.seasonal import forecast_series, random_candidates, score_candidates
+from shelfcast.operators.series_recursion import LinearModel, recursive_forecast_in_partition
 from shelfcast.operators.topdown import renormalise
 from shelfcast.operators.windows import growth_rates, series_features
 from shelfcast.plans.feature_queries import ROLLED, features_sql, panel_features, store_dept_table
@@ -115,6 +116,16 @@ def recursive_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.select("id", "d", r6("sales"))
 
 
+@query("recursive_in_partition", with_panel("brand", "kept AS MATERIALIZED (SELECT id, d, sales, rate FROM grid)",
+                                            *recursion_sql("kept", "id", "coalesce(s.rate, 1.0)")) + """
+SELECT id, d, round(sales, 6) AS sales FROM step28 WHERE d > (SELECT t FROM bounds)""")
+def recursive_in_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recursion of a linear model with all steps of a series in one task."""
+    grid = panel_grid(spark, sf_dir).select("id", "d", "sales", "rate")
+    forecast = recursive_forecast_in_partition(grid, LinearModel(COEFFICIENTS), panel_horizon(spark, sf_dir).train_last)
+    return forecast.select("id", "d", r6("sales"))
+
+
 @query("wrmsse_recursive", with_panel(
     "brand", "kept AS MATERIALIZED (SELECT id, d, sales, rate FROM grid)", *recursion_sql("kept", "id", "coalesce(s.rate, 1.0)"), *SCORE_SQL[:-1], """
 rerrs AS (SELECT i.*, f.d - t AS h, 'recursive' AS model, coalesce(s.sales, 0.0) - f.sales AS error
@@ -125,7 +136,8 @@ def wrmsse_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The recursion's own forecasts against the days held out, on every level."""
     horizon, history, earned = score_history(spark, sf_dir, "brand")
     grid = panel_grid(spark, sf_dir).select(*KEYS, "d", "sales", "rate")
-    forecast = recursive_forecast(grid, _linear, horizon.train_last).withColumnRenamed("sales", "yhat")
+    forecast = recursive_forecast_in_partition(grid, LinearModel(COEFFICIENTS), horizon.train_last, keys=KEYS)
+    forecast = forecast.withColumnRenamed("sales", "yhat")
     truth = panel_sales(spark, sf_dir, "brand").filter(F.col("d") > horizon.train_last).select("id", "d", "sales")
     errors = forecast.join(truth, ["id", "d"], "left").select(
         *KEYS, (F.col("d") - horizon.train_last).alias("h"), (F.coalesce("sales", F.lit(0.0)) - F.col("yhat")).alias("error")
@@ -142,10 +154,10 @@ ALPHAS = [1.035, 1.03, 1.025]
 SELECT id, d, round(list_reduce(list_sort(list(sales)), lambda a, b: a + b) / count(*), 6) AS sales
 FROM step28 WHERE d > (SELECT t FROM bounds) GROUP BY id, d""")
 def alpha_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three recursions with their own multipliers side by side, then averaged."""
-    grid = with_multipliers(panel_grid(spark, sf_dir, rate=False).select("id", "d", "sales"), ALPHAS)
-    runs = recursive_forecast(
-        grid, _linear, panel_horizon(spark, sf_dir).train_last, keys=["alpha", "id"], multiplier="alpha"
+    """Three recursions with their own multipliers in the same tasks, then averaged."""
+    runs = recursive_forecast_in_partition(
+        panel_grid(spark, sf_dir, rate=False).select("id", "d", "sales"), LinearModel(COEFFICIENTS),
+        panel_horizon(spark, sf_dir).train_last, multipliers=ALPHAS,
     )
     return average_runs(runs).select("id", "d", r6("sales"))
 

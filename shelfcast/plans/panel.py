@@ -11,7 +11,7 @@ from __future__ import annotations
 from datetime import date
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from shelfcast.horizon import STEPS, Horizon
 from shelfcast.operators.joins import with_calendar, with_rate
@@ -41,14 +41,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@lru_cache(maxsize=None)
-def _last_date(spark: SparkSession, sf_dir: str) -> date:
+@lru_cache(maxsize=64)
+def _last_date(spark: SparkSession, sf_dir: str, files: tuple[str, ...]) -> date:
     return table(spark, sf_dir, "lineitem").agg(F.max("l_shipdate").cast("date").alias("d")).first()["d"]
 
 
 def panel_horizon(spark: SparkSession, sf_dir: str, label: str = "validation") -> Horizon:
-    """The last 28 days of the data are held out, so that the truth is known."""
-    last = (_last_date(spark, sf_dir) - EPOCH).days
+    """The last 28 days of the data are held out, so that the truth is known.
+
+    The last date is remembered for a table's list of files: files that are added
+    are seen, one that is overwritten under its own name is not.
+    """
+    files = tuple(sorted(table(spark, sf_dir, "lineitem").inputFiles()))
+    last = (_last_date(spark, sf_dir, files) - EPOCH).days
     end = last - STEPS
     return Horizon(label, end, date.fromordinal(EPOCH.toordinal() + end + 1))
 
@@ -170,36 +175,44 @@ def panel_rates(sales: DataFrame, horizon: Horizon) -> DataFrame:
     return growth_rates(dept_days(history, horizon.train_last), horizon.train_last)
 
 
+def weekly_sales(sales: DataFrame, end: int) -> DataFrame:
+    """``KEYS, week, price, s0, ..., s6``: a row for each priced week up to ``end``, with the sales of its days.
+
+    Rows are dealt by series, and so is all that is made of them.
+    """
+    history = sales.filter(F.col("d") <= end).repartition("id")
+    return history.groupBy(*KEYS, week_of().alias("week")).agg(
+        unit_price().alias("price"),
+        *[F.max(F.when(F.col("d") % 7 == k, F.col("sales"))).alias(f"s{k}") for k in range(7)],
+    )
+
+
+def panel_days(sales: DataFrame, horizon: Horizon) -> DataFrame:
+    """``KEYS, d, sales, sell_price``: the days of priced weeks, and those of the horizon at the series' last price."""
+    end = horizon.train_last
+    latest = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("week"))) == 1
+    weeks = weekly_sales(sales, end).withColumn("latest", latest)
+    day = lambda k: (F.col("week") * 7 + k).cast("int")
+    known = [F.struct(day(k).alias("d"), F.coalesce(F.col(f"s{k}"), F.lit(0.0)).alias("sales")) for k in range(7)]
+    ahead = [F.struct(F.lit(end + h).alias("d"), F.lit(None).cast("double").alias("sales")) for h in range(1, horizon.steps + 1)]
+    # a series' last week has the horizon's price, and gives its days as well
+    days = F.when(F.col("latest"), F.array(*known, *ahead)).otherwise(F.array(*known))
+    rows = weeks.select(*KEYS, F.col("price").alias("sell_price"), F.explode(days).alias("day"))
+    return rows.filter(F.col("day.sales").isNull() | F.col("day.d").between(1, end)).select(*KEYS, "day.*", "sell_price")
+
+
 def panel_grid(spark: SparkSession, sf_dir: str, grain: str = "brand", rate: bool = True) -> DataFrame:
     """Item x store x day grid: sales, calendar, prices and growth rate.
 
     A series has the seven days of each week in which it has a price, and all
     days of the horizon, at its last price and without sales.  Nothing of the
     horizon's sales is used.  Days come from the priced weeks, so the grid grows
-    with the sales rows and not with items times days; each series' weeks meet
-    once, and windows over the series reuse that partitioning.
+    with the sales rows and not with items times days; sales are dealt by series
+    once, and weeks, days and windows over the series reuse that partitioning.
     """
     horizon = panel_horizon(spark, sf_dir)
     sales = panel_sales(spark, sf_dir, grain)
-    end = horizon.train_last
-    weekly = sales.filter(F.col("d") <= end).groupBy(*KEYS, week_of().alias("week")).agg(
-        unit_price().alias("price"), F.collect_list(F.struct("d", "sales")).alias("sold")
-    )
-    series = weekly.groupBy("id").agg(
-        *[F.first(k).alias(k) for k in KEYS[1:]], F.collect_list(F.struct("week", "price", "sold")).alias("weeks")
-    )
-
-    def days_of(w: Column) -> Column:
-        days = F.sequence(F.greatest(w["week"] * 7, F.lit(1)), F.least(w["week"] * 7 + 6, F.lit(end)))
-        sold = lambda d: F.get(F.filter(w["sold"], lambda s: s["d"] == d), F.lit(0))["sales"]
-        return F.transform(days, lambda d: F.struct(
-            d.alias("d"), F.coalesce(sold(d), F.lit(0.0)).alias("sales"), w["price"].alias("sell_price")))
-
-    last_price = F.array_max(F.transform("weeks", lambda w: F.struct(w["week"], w["price"])))["price"]
-    ahead = F.transform(F.sequence(F.lit(end + 1), F.lit(horizon.last)), lambda d: F.struct(
-        d.alias("d"), F.lit(None).cast("double").alias("sales"), last_price.alias("sell_price")))
-    rows = series.select(*KEYS, F.explode(F.concat(F.flatten(F.transform("weeks", days_of)), ahead)).alias("day"))
-    grid = with_calendar(rows.select(*KEYS, "day.*"), panel_calendar(spark, sf_dir))
+    grid = with_calendar(panel_days(sales, horizon), panel_calendar(spark, sf_dir))
     return with_rate(grid, panel_rates(sales, horizon)) if rate else grid
 
 
