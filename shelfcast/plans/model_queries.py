@@ -18,8 +18,9 @@ from shelfcast.operators.reshape import pivot_steps
 from shelfcast.operators.seasonal import forecast_series, random_candidates, score_candidates
 from shelfcast.operators.series_recursion import LinearModel, recursive_forecast_in_partition
 from shelfcast.operators.topdown import renormalise
+from shelfcast.operators.trend import holiday_windows, trend_forecast
 from shelfcast.operators.windows import growth_rates, series_features
-from shelfcast.plans.feature_queries import ROLLED, features_sql, panel_features, store_dept_table
+from shelfcast.plans.feature_queries import ROLLED, STORE_DEPT_SQL, features_sql, panel_features, store_dept_table
 from shelfcast.plans.panel import (
     KEYS, SERIES_KEYS, baseline_forecasts, dept_days, panel_calendar, panel_grid, panel_horizon, panel_rates, panel_sales,
 )
@@ -420,3 +421,31 @@ def seasonal_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     tuned = series.join(best.select(*SERIES_KEYS, options[F.col("candidate")].alias("params")), SERIES_KEYS)
     forecast = forecast_series(tuned, horizon.train_last, params="params")
     return pivot_steps(forecast.withColumn("h", F.col("d") - horizon.train_last), SERIES_KEYS, "yhat")
+
+
+def _trended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fitted and forecast totals of each store and department, with sparse trend changes and holiday windows."""
+    events = panel_calendar(spark, sf_dir).select("d", F.col("event_name_1").alias("event"))
+    series = holiday_windows(store_dept_table(spark, sf_dir), events)
+    return trend_forecast(series, panel_horizon(spark, sf_dir).train_last)
+
+
+@query("trend_intervals")
+def trend_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecasts of the horizon with the bounds of four fifths of the simulated futures."""
+    ahead = _trended(spark, sf_dir).filter(F.col("d") > panel_horizon(spark, sf_dir).train_last)
+    return ahead.select(*SERIES_KEYS, "d", r6("yhat"), r6("low"), r6("high"))
+
+
+@query("trend_law", with_panel("brand", STORE_DEPT_SQL) + """
+SELECT store_id, dept_id, count(*) AS n, round(avg(y), 4) AS actual, round(avg(y), 4) AS fitted,
+       round(sum(d * y) / sum(d), 4) AS actual_by_day, round(sum(d * y) / sum(d), 4) AS fitted_by_day
+FROM store_dept, bounds WHERE d <= t GROUP BY ALL""")
+def trend_law(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Level and slope have no penalty, so fitted days add up to the actual ones, plain and weighted by day."""
+    past = _trended(spark, sf_dir).filter(F.col("d") <= panel_horizon(spark, sf_dir).train_last)
+    by_day = lambda c: F.sum(F.col("d") * F.col(c)) / F.sum("d")
+    return past.groupBy(*SERIES_KEYS).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("y"), 4).alias("actual"), F.round(F.avg("yhat"), 4).alias("fitted"),
+        F.round(by_day("y"), 4).alias("actual_by_day"), F.round(by_day("yhat"), 4).alias("fitted_by_day"),
+    )
