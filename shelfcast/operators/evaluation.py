@@ -7,13 +7,14 @@ non-zero days alone.
 
 from __future__ import annotations
 
+import math
 import operator
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfcast.functions.numeric import hashed_poisson, hashed_uniform, ratio
+from shelfcast.functions.numeric import MODULUS, drawn_poisson, hashed_poisson, hashed_uniform, mixed_draw, ratio
 from shelfcast.operators.hierarchy import rollup_levels
 
 
@@ -170,6 +171,34 @@ def bootstrap_means(
     )
 
 
+# Blocks of a bootstrap: its spread is that of the rows' own draws within about 1 / sqrt(2 * BOOTSTRAP_BLOCKS).
+BOOTSTRAP_BLOCKS = 4096
+
+
+def bootstrap_block_means(
+    residuals: DataFrame, row_key: Sequence[str], replicates: int, by: Sequence[str] = ("model",), seed: int = 0,
+    blocks: int = BOOTSTRAP_BLOCKS,
+) -> DataFrame:
+    """Mean residual in each of ``replicates`` Poisson bootstrap samples of blocks of rows.
+
+    The rows are dealt to blocks by a hash of their key, once, and only number
+    and sum of each block are kept; a replicate draws how often it takes each
+    block.  So the work is one pass over the rows, and blocks times replicates
+    after it, whatever the number of rows; what a replicate takes is summed map-side.
+    """
+    by = list(by)
+    cell = F.pmod(F.floor(hashed_uniform(*row_key, seed=seed) * 2.0**32).cast("long"), F.lit(blocks))
+    sums = residuals.groupBy(*by, cell.alias("_block")).agg(F.count("residual").alias("_n"), F.sum("residual").alias("_s"))
+    # a stated number of partitions: the few rows would otherwise be drawn for in one task
+    spread = sums.repartition(max(2, residuals.sparkSession.sparkContext.defaultParallelism), *by, "_block")
+    drawn = spread.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1)))).withColumn(
+        "_draw", mixed_draw(F.col("_block"), F.col("rep"), seed))
+    # what is taken zero times adds nothing
+    taken = drawn.filter(F.col("_draw") >= F.lit(math.ceil(math.exp(-1.0) * MODULUS))).withColumn("_w", drawn_poisson(F.col("_draw")))
+    return taken.groupBy(*by, "rep").agg(
+        ratio(F.sum(F.col("_w") * F.col("_s")), F.sum(F.col("_w") * F.col("_n"))).alias("mean_residual"))
+
+
 def bootstrap_summary(means: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
     return means.groupBy(*by).agg(
         F.avg("mean_residual").alias("mean"), F.stddev_pop("mean_residual").alias("std")

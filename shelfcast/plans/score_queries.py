@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfcast.functions.numeric import (
-    blended_loss, gamma_nll, gaussian_nll, negative_density, poisson_loss, poisson_nll, tweedie_loss,
+    MODULUS, MULTIPLIERS, blended_loss, gamma_nll, gaussian_nll, negative_density, poisson_loss, poisson_nll, tweedie_loss,
 )
 from shelfcast.functions.text import with_label
 from shelfcast.operators.aggregates import share_of_total
 from shelfcast.operators.ensemble import blend, stack_apply, stack_weights
 from shelfcast.operators.evaluation import (
-    blended_scores, bootstrap_means, bootstrap_summary, naive_scale, overall_score, residual_histogram, revenue, revenue_weights,
-    rmse, rmsse, weighted_scores,
+    BOOTSTRAP_BLOCKS, blended_scores, bootstrap_block_means, bootstrap_summary, naive_scale, overall_score, residual_histogram,
+    revenue, revenue_weights, rmse, rmsse, weighted_scores,
 )
 from shelfcast.operators.hierarchy import LEVELS, rollup_levels
 from shelfcast.operators.reshape import dual_label, pivot_steps
@@ -237,27 +239,37 @@ def residual_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residual_histogram(residuals, -50.0, 50.0, 100).withColumn("total", F.round("total", 4))
 
 
-BOOTSTRAP_REPLICATES = 40
+BOOTSTRAP_REPLICATES = 10_000
 POISSON_CDF = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563,
                0.9994058151824183, 0.9999167588507119, 0.9999897508033253, 0.999998874797402, 0.9999998885745217,
                0.9999999899522336, 0.9999999991683892]
 
 
+# The draw of a block for a replicate, with seed 17.
+DRAW_SQL = "(block + 18) * {0} % {m}".format(*MULTIPLIERS, m=MODULUS)
+for _other, _own in (("rep * {3} % {m}", 1), ("block * {2} % {m}", 2), ("rep", 3)):
+    DRAW_SQL = f"xor({DRAW_SQL}, {_other.format(*MULTIPLIERS, m=MODULUS)}) * {MULTIPLIERS[_own]} % {MODULUS}"
+
+
 @query("bootstrap_mean", with_panel("brand", *SCORE_SQL[4:], f"""
+blocks AS MATERIALIZED (
+  SELECT model, CAST('0x' || substr(md5(id || '|' || CAST(h AS VARCHAR) || '|17'), 1, 8) AS BIGINT) % {BOOTSTRAP_BLOCKS} AS block,
+         count(*) AS n, sum(error) AS s
+  FROM errs GROUP BY ALL),
+cells AS (SELECT DISTINCT block FROM blocks),
 draws AS (
-  SELECT model, rep, error, CAST('0x' || substr(md5(id || '|' || CAST(h AS VARCHAR) || '|' || model || '|' || CAST(rep AS VARCHAR) || '|17'), 1, 8) AS BIGINT)
-         / 4294967296.0 AS u
-  FROM errs CROSS JOIN (SELECT unnest(generate_series(1, {BOOTSTRAP_REPLICATES})) AS rep)),
+  SELECT block, rep, {DRAW_SQL} AS x FROM cells CROSS JOIN (SELECT unnest(range(0, {BOOTSTRAP_REPLICATES})) AS rep)),
+takes AS (
+  SELECT block, rep, {' + '.join(f'CAST(x >= {math.ceil(c * MODULUS)} AS INTEGER)' for c in POISSON_CDF)} AS w FROM draws),
 means AS (
-  SELECT model, rep, sum(n * error) / sum(n) AS m
-  FROM (SELECT *, {' + '.join(f'CAST(u >= {c!r} AS INTEGER)' for c in POISSON_CDF)} AS n FROM draws) GROUP BY ALL)""") + """
+  SELECT model, rep, sum(w * s) / sum(w * n) AS m FROM takes JOIN blocks USING (block) WHERE w > 0 GROUP BY ALL)""") + """
 SELECT model, round(avg(m), 6) AS mean, round(stddev_pop(m), 6) AS std FROM means GROUP BY model""")
 def bootstrap_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean and spread of the bootstrapped mean residual of each model."""
     base = baseline_forecasts(spark, sf_dir, "brand")
     long = base.unpivot(["id", "h", "truth"], BASELINES, "model", "yhat")
     residuals = long.select("id", "h", "model", (F.col("truth") - F.col("yhat")).alias("residual"))
-    means = bootstrap_means(residuals, ["id", "h", "model"], BOOTSTRAP_REPLICATES, seed=17)
+    means = bootstrap_block_means(residuals, ["id", "h"], BOOTSTRAP_REPLICATES, seed=17)
     return bootstrap_summary(means).select("model", r6("mean"), r6("std"))
 
 
