@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfcast.operators.topdown import renormalise
-from shelfcast.operators.windows import LAGS, ROLLING, look_back, series_features
+from shelfcast.operators.windows import LAGS, ROLLING, lag_columns, look_back, rolling_columns
 from shelfcast.session import cut_lineage
 
 Predictor = Callable[[DataFrame], DataFrame]
@@ -50,10 +50,12 @@ def recursive_forecast(
     future = cut_lineage(grid.filter(F.col("d").between(train_last + 1, train_last + steps)).drop("sales"))
     known = cut_lineage(history)
     block = min(lags)
+    # forecasts are not whole numbers, and the history is short: frames keep the last bit that running sums lose
+    features = {**lag_columns(keys, "d", "sales", lags), **rolling_columns(keys, "d", "sales", lags, windows)}
     for first in range(train_last + 1, train_last + steps + 1, block):
         in_block = F.col("d").between(first, min(first + block - 1, train_last + steps))
         rows = known.unionByName(future.filter(in_block), allowMissingColumns=True)
-        predicted = predict(series_features(rows, keys, "d", "sales", lags, windows).filter(in_block))
+        predicted = predict(rows.select("*", *[c.alias(name) for name, c in features.items()]).filter(in_block))
         if share:
             predicted = renormalise(predicted.drop("sales").withColumnRenamed("prediction", "sales"), "sales")
         else:

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -71,8 +72,8 @@ def run_steps(values: np.ndarray, steps: int, model: LinearModel, inputs: dict[s
             if window is None:
                 return inputs[name][:, step]
             lag, n = window
-            # the mean of a window with an unknown value is unknown
-            return values[:, at - lag - n + 1:at - lag + 1].mean(axis=1)
+            # added up in the order of the days, as a frame does; with an unknown value the mean is unknown
+            return reduce(np.add, (values[:, k] for k in range(at - lag - n + 1, at - lag + 1))) / n
 
         values[:, at] = factor[:, step] * model.predict(feature)
     return values[:, first:]
