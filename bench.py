@@ -20,7 +20,7 @@ HEADLINE = [
     "item_share", "holdout_sample", "hierarchy_rollup", "revenue_weights", "rmsse", "wrmsse", "wrmsse_models",
     "join_models", "blend", "stack_weights", "stack_apply", "top_down", "submission", "recursive_seasonal",
     "recursive_forecast", "per_series_forecast", "topdown_volume", "blend_search", "wrmsse_recursive", "alpha_ensemble",
-    "recursive_model", "tune_per_series", "bootstrap_mean",
+    "recursive_model", "tune_per_series", "bootstrap_mean", "recursive_in_partition", "stored_features", "trend_law",
 ]
 
 
