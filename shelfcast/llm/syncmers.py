@@ -4,14 +4,19 @@ The units are words.  A k-mer is K consecutive words, its inner pieces are the
 runs of S words in it.  It is a closed syncmer when its least inner hash lies at
 its first or its last piece.  That depends on the k-mer alone, so equal passages
 give equal anchors whatever surrounds them.  ``anchors`` are the hashes of the
-syncmers with their word positions; ``fingerprint`` keeps the KEPT least
-distinct hashes, whose overlap estimates the overlap of two whole anchor sets.
+syncmers with their word positions.  A mark is an anchor, the anchor after it and
+the words between them: two texts share a mark where two anchors stand at the
+same distance in both, wherever that is.  Likeness is the exact share of common
+marks, over all of both texts.  The fingerprint string names the KEPT least
+distinct anchor hashes and ends with a digest of all marks, so that texts with
+equal fingerprints have likeness 1.
 
 Edited texts need the beginning of the next document in the order of ids.  A few
 ids split the order into stretches; each document goes to its stretch, and the
 first ones of a stretch also end the stretch before (the first of all ends the
 last), so every document meets its successor after one shuffle, and no
-task sees more than a stretch.
+task sees more than a stretch.  Only ids and texts are shuffled; marks are made
+where a stretch has come together.
 
 Defined results: a NULL text counts as empty.  Fewer than K words give one
 anchor, the whole sequence; no words give none, and two empty fingerprints have
@@ -22,6 +27,8 @@ none.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfcast.llm.common import SPACE, let
@@ -58,21 +65,36 @@ def anchors(text: Column) -> Column:
     return let(pieces, of_words)
 
 
-def least_hashes(text: Column) -> Column:
-    """The fingerprint as an array: the KEPT least distinct 32-bit hashes of the anchors."""
-    hashes = F.transform(anchors(text), lambda a: F.shiftrightunsigned(a["hash"], 32))
-    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, KEPT)
+def marked(text: Column) -> Column:
+    """``struct<least, marks>``: the KEPT least distinct 32-bit anchor hashes, and all distinct marks in order of hash."""
+
+    def of_anchors(found: Column) -> Column:
+        hashes = F.transform(found, lambda a: F.shiftrightunsigned(a["hash"], 32))
+
+        def mark(a: Column, i: Column) -> Column:
+            # the last anchor has none after it: NULLs leave a hash as it is
+            after = F.get(found, i + 1)
+            return F.xxhash64(a["hash"], after["hash"], after["position"] - a["position"])
+
+        return F.struct(
+            F.slice(F.sort_array(F.array_distinct(hashes)), 1, KEPT).alias("least"),
+            F.sort_array(F.array_distinct(F.transform(found, mark))).alias("marks"),
+        )
+
+    return let(anchors(text), of_anchors)
 
 
-def as_text(hashes: Column) -> Column:
-    return F.array_join(F.transform(hashes, lambda h: F.lpad(F.lower(F.hex(h)), 8, "0")), "")
+def as_text(print_: Column) -> Column:
+    """The fingerprint string: the least hashes, then the digest of all marks; empty for a text without words."""
+    least = F.array_join(F.transform(print_["least"], lambda h: F.lpad(F.lower(F.hex(h)), 8, "0")), "")
+    digest = F.lpad(F.lower(F.hex(F.xxhash64(print_["marks"]))), 16, "0")
+    return F.when(F.size(print_["marks"]) == 0, F.lit("")).otherwise(F.concat(least, digest))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Estimated share of common anchors: of the KEPT least hashes of both, those that both have."""
-    both = F.slice(F.sort_array(F.array_union(a, b)), 1, KEPT)
+    """Common marks over all marks of both; both arrays hold distinct ones."""
     return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(
-        let(both, lambda u: F.size(F.array_intersect(F.array_intersect(u, a), b)) / F.size(u)).cast("double")
+        let(F.size(F.array_intersect(a, b)), lambda n: n / (F.size(a) + F.size(b) - n)).cast("double")
     )
 
 
@@ -83,10 +105,12 @@ def stretch_starts(docs: DataFrame, id: str, stretches: int) -> list:
     return sorted(set(ids.agg(F.percentile_approx("id", shares, 100 * stretches)).first()[0] or []))
 
 
-def with_next(docs: DataFrame, id: str, carried: list[str], stretches: int = STRETCHES) -> DataFrame:
-    """Each row with ``next``, a struct of the ``carried`` columns of the row that follows it in the order of ids.
+def with_next(
+    docs: DataFrame, id: str, text: str, derived: Mapping[str, Column], stretches: int = STRETCHES
+) -> DataFrame:
+    """Each row with the ``derived`` columns, and ``next``: text and derived columns of the row after it in the order of ids.
 
-    ``carried`` begins with the text, which also orders rows of equal ids.
+    The text also orders rows of equal ids.  Derived columns are made after the shuffle, so they are not moved.
     """
     starts = stretch_starts(docs, id, stretches)
     values = F.array(*[F.lit(s) for s in starts]) if starts else F.array(F.lit(None).cast(docs.schema[id].dataType))
@@ -102,13 +126,18 @@ def with_next(docs: DataFrame, id: str, carried: list[str], stretches: int = STR
         F.struct(F.col("_own").alias("stretch"), F.lit(False).alias("guest")),
         F.struct(before.alias("stretch"), F.lit(True).alias("guest")),
     )).otherwise(F.array(F.struct(F.col("_own").alias("stretch"), F.lit(False).alias("guest"))))
-    order = Window.partitionBy("_at.stretch").orderBy("_at.guest", F.col(id).asc_nulls_first(), carried[0])
-    return (
+    order = Window.partitionBy("_stretch").orderBy("_guest", F.col(id).asc_nulls_first(), text)
+    gathered = (
         docs.withColumn("_own", own)
         .withColumn("_at", F.explode(place))
-        .withColumn("next", F.lead(F.struct(*carried)).over(order))
-        .filter(~F.col("_at.guest"))
-        .drop("_own", "_at")
+        .select(*docs.columns, F.col("_at.stretch").alias("_stretch"), F.col("_at.guest").alias("_guest"))
+        .repartition("_stretch")
+    )
+    return (
+        gathered.withColumns(dict(derived))
+        .withColumn("next", F.lead(F.struct(text, *derived)).over(order))
+        .filter(~F.col("_guest"))
+        .drop("_stretch", "_guest")
     )
 
 
@@ -117,21 +146,20 @@ def fingerprints(
 ) -> DataFrame:
     """One row per document: ``id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``."""
     rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.withColumn("least", least_hashes(F.col("text")))
     n = F.char_length("text")
     cut = F.floor(n / 4).cast("int")
     edited = (
-        with_next(rows, "id", ["text", "least"], stretches)
+        with_next(rows, "id", "text", {"print": marked(F.col("text"))}, stretches)
         .withColumn("n_chars", n.cast("long"))
         .withColumn("edited", F.concat(
             F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.col("next.text"), F.lit(1), cut)))
-        .withColumn("edited_least", least_hashes(F.col("edited")))
+        .withColumn("edited_print", marked(F.col("edited")))
     )
     return edited.select(
         F.col("id").alias(id), "n_chars",
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        as_text(F.col("least")).alias("fingerprint"),
-        as_text(F.col("edited_least")).alias("edited_fingerprint"),
-        likeness(F.col("least"), F.col("edited_least")).alias("near_edited"),
-        likeness(F.col("least"), F.col("next.least")).alias("near_next"),
+        as_text(F.col("print")).alias("fingerprint"),
+        as_text(F.col("edited_print")).alias("edited_fingerprint"),
+        likeness(F.col("print.marks"), F.col("edited_print.marks")).alias("near_edited"),
+        likeness(F.col("print.marks"), F.col("next.print.marks")).alias("near_next"),
     )

@@ -3,8 +3,10 @@
 import collections
 import hashlib
 import re
+import struct
 
 import pytest
+import xxhash
 from helpers import SCHEMA, awkward, frame, words
 from pyspark.sql import functions as F
 
@@ -135,12 +137,75 @@ def test_fingerprints_and_edits(docs, rows):
     assert of[2] != of[3]
 
 
-def test_likeness_estimates_overlap(spark):
+def chained_hash(*parts):
+    """Spark's 64-bit hash of several packed values: the hash of one seeds the next."""
+    seed = 42
+    for data in parts:
+        seed = xxhash.xxh64_intdigest(data, seed)
+    return seed - 2**64 if seed >= 2**63 else seed
+
+
+def long_hash(*longs, gap=None):
+    return chained_hash(*[struct.pack("<q", h) for h in longs], *([] if gap is None else [struct.pack("<i", gap)]))
+
+
+def brute_marks(text):
+    own = words(text)
+    k, s = syncmers.K, syncmers.S
+    if len(own) < k:
+        found = [(0, chained_hash(" ".join(own).encode()))] if own else []
+    else:
+        pieces = [chained_hash(a.encode(), b.encode()) for a, b in zip(own, own[1:])]
+        found = []
+        for i in range(len(own) - k + 1):
+            inner = pieces[i:i + k - s + 1]
+            if min(inner[0], inner[-1]) <= min(inner[1:-1]):
+                found.append((i, long_hash(inner[0], inner[2], inner[3])))
+    return {
+        long_hash(h, found[n + 1][1], gap=found[n + 1][0] - p) if n + 1 < len(found) else long_hash(h)
+        for n, (p, h) in enumerate(found)
+    }
+
+
+def brute_likeness(a, b):
+    a, b = brute_marks(a), brute_marks(b)
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def edited_text(text, after):
+    cut = len(text) // 4
+    return text[: len(text) - cut] + after[:cut]
+
+
+def test_likeness_is_the_share_of_common_marks(spark, docs, rows):
     a = [f"w{k}" for k in range(400)]
-    b = a[:300] + [f"v{k}" for k in range(100)]
-    docs = spark.createDataFrame([(0, " ".join(a)), (1, " ".join(b)), (2, "z y x w v u t")], "doc_id long, text string")
-    near = {r.doc_id: r.near_next for r in syncmers.fingerprints(docs).collect()}
-    assert abs(near[0] - 0.6) < 0.2 and near[1] == 0.0
+    texts = [" ".join(a), " ".join(a[:300] + [f"v{k}" for k in range(100)]), "z y x w v u t", "", None, "one", "one " * 50,
+             " ".join(["x", *a[:200], "y", *a[200:]]), " ".join(a[200:] + a[:200])]
+    made = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in syncmers.fingerprints(made, stretches=4).collect()}
+    for k, text in enumerate(texts):
+        after = texts[(k + 1) % len(texts)] or ""
+        assert got[k].near_next == brute_likeness(text or "", after)
+        assert got[k].near_edited == brute_likeness(text or "", edited_text(text or "", after))
+    assert 0.5 < got[0].near_next < 0.7 and got[3].near_next == 1.0 and got[7].near_next > 0.9
+    # rows of one id are ordered by text, so those with an id of their own are compared here
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode()))
+    found = collections.Counter((g.doc_id, g.near_edited, g.near_next) for g in syncmers.fingerprints(docs, stretches=7).collect())
+    expected = collections.Counter()
+    for k, r in enumerate(order):
+        text, after = r[1] or "", order[(k + 1) % len(order)][1] or ""
+        expected[(r[0], brute_likeness(text, edited_text(text, after)), brute_likeness(text, after))] += 1
+    assert found == expected
+
+
+def test_small_edit_of_a_very_long_text_shows(spark):
+    """600 words in a row of 60,000 change: likeness is below 1 by that share, and the fingerprints differ."""
+    long = [f"w{k * k % 7919}" for k in range(60_000)]
+    other = long[:30_000] + [f"edit{k}" for k in range(600)] + long[30_600:]
+    made = spark.createDataFrame([(0, " ".join(long)), (1, " ".join(other))], "doc_id long, text string")
+    first, second = sorted(syncmers.fingerprints(made).collect(), key=lambda r: r.doc_id)
+    assert first.near_next == second.near_next == brute_likeness(" ".join(long), " ".join(other)) < 1
+    assert first.near_next > 0.9 and first.fingerprint != second.fingerprint
 
 
 def test_single_document_follows_itself(spark):
