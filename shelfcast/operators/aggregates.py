@@ -67,6 +67,34 @@ def target_means(df: DataFrame, column: str, target: str, smoothing: float = 0.0
     return stats.select(column, encoded.alias(f"{column}_mean"))
 
 
+def out_of_fold_means(df: DataFrame, column: str, target: str, fold: Column, smoothing: float = 0.0) -> DataFrame:
+    """``df`` with ``<column>_mean``: the mean target of the row's category over all other folds.
+
+    No row's own target takes part in its mean, so a target without any relation
+    to the category gives a column without signal.  Means are shrunk by
+    ``smoothing`` pseudo-rows to the mean of all other folds, which is also what a
+    category takes that occurs in one fold only.  Sums are kept per category and
+    fold, added up map-side; leaving a fold out is a subtraction.
+    """
+    rows = df.withColumn("_fold", fold)
+    cells = measured(rows.groupBy(column, "_fold").agg(F.sum(target).alias("_s"), F.count(target).alias("_n")))
+    by_fold = cells.groupBy("_fold").agg(F.sum("_s").alias("_fs"), F.sum("_n").alias("_fn"))
+    total = cells.agg(F.struct(F.sum("_s").alias("s"), F.sum("_n").alias("n"))).scalar()
+    prior = by_fold.select("_fold", ratio(total["s"] - F.coalesce("_fs", F.lit(0.0)), total["n"] - F.col("_fn")).alias("_prior"))
+    category = cells.groupBy(column).agg(F.sum("_s").alias("_cs"), F.sum("_n").alias("_cn"))
+    left_out = cells.join(category.withColumnRenamed(column, "_category"), F.col(column).eqNullSafe(F.col("_category"))).select(
+        "_category", F.col("_fold").alias("_of"),
+        (F.coalesce("_cs", F.lit(0.0)) - F.coalesce("_s", F.lit(0.0))).alias("_s"), (F.col("_cn") - F.col("_n")).alias("_n"),
+    )
+    means = left_out.join(prior, F.col("_of") == F.col("_fold")).select(
+        "_category", "_of",
+        F.coalesce(ratio(F.col("_s") + F.lit(smoothing) * F.col("_prior"), F.col("_n") + F.lit(smoothing)), F.col("_prior"))
+        .alias(f"{column}_mean"),
+    )
+    matched = F.col(column).eqNullSafe(F.col("_category")) & (F.col("_fold") == F.col("_of"))
+    return rows.join(measured(means), matched, "left").drop("_category", "_of", "_fold")
+
+
 def standardised(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Zero mean and unit (population) deviation; all moments come from one aggregate."""
     moments = df.agg(

@@ -129,3 +129,29 @@ def item_matrix(
         for i, c in enumerate(columns)
     ]
     return wide.select(*row_keys, *cells)
+
+
+# Columns per block of a sparse row; bounds the list that one task gathers for one row.
+BLOCK = 4096
+
+
+def sparse_rows(
+    df: DataFrame, row_keys: Sequence[str], column: str, dictionary: DataFrame, value: str, block: int = BLOCK
+) -> DataFrame:
+    """``row_keys, block, indices, values``: a matrix with one column per value of ``column``, as sparse rows.
+
+    ``dictionary`` (``value, code``) gives the column numbers and is a table, so
+    the columns are never listed in the plan or on the driver.  A row is cut into
+    blocks of ``block`` columns, each with its non-zero cells in the order of the
+    columns; blocks without any are absent.  Repeated cells are added up; cells whose
+    column is not in the dictionary drop out.  With 0/1 values this is a one-hot row.
+    """
+    codes = dictionary.select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+    coded = df.join(codes, F.col(column).cast("string").eqNullSafe(F.col("_value")))
+    cells = coded.groupBy(*row_keys, "_code").agg(F.sum(value).alias("_cell")).filter(F.col("_cell") != 0)
+    listed = F.sort_array(F.collect_list(F.struct("_code", "_cell")))
+    blocks = cells.groupBy(*row_keys, F.floor(F.col("_code") / block).cast("int").alias("block")).agg(listed.alias("_cells"))
+    return blocks.select(
+        *row_keys, "block", F.col("_cells._code").alias("indices"), F.col("_cells._cell").alias("values")
+    )
+

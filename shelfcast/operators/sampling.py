@@ -15,23 +15,45 @@ from shelfcast.operators.ordering import ranged_index
 from shelfcast.session import measured
 
 
+# Bins of a rank per factor of two: the bin of the last row drawn holds about 1% of the rows before it.
+BINS_PER_OCTAVE = 64
+# Ranks below this (0 too) share a bin; hashed draws are multiples of 2**-33.
+LEAST_RANK = 2.0**-64
+
+
+def rank_bin(rank: Column) -> Column:
+    """Logarithmic bin of a rank that is not negative: some thousands of bins at most, whatever the number of rows."""
+    return F.floor(F.log2(F.greatest(rank, F.lit(LEAST_RANK))) * BINS_PER_OCTAVE).cast("int")
+
+
+def last_bin(ranked: DataFrame, n: int) -> int | None:
+    """The first bin up to which there are ``n`` rows; None where all rows together are fewer.
+
+    The counts per bin are a sketch that map tasks build and merge exactly.
+    """
+    sizes = ranked.groupBy(rank_bin(F.col("_rank")).alias("bin")).agg(F.count(F.lit(1)).alias("rows")).orderBy("bin").collect()
+    before = 0
+    for size in sizes:
+        before += size["rows"]
+        if before >= n:
+            return size["bin"]
+    return None
+
+
 def smallest(df: DataFrame, rank: Column, ties: Sequence[str], n: int) -> DataFrame:
-    """Exactly the ``n`` rows with the smallest ``rank``.
+    """Exactly the ``n`` rows with the smallest ``rank`` (none of which is negative); all rows where there are fewer.
 
-    The input is stored with its rank, since it is read several times.  An
-    approximate quantile first drops nearly all rows that cannot be among them;
-    only the rest is sorted, by range.  ``limit`` after a sort would send all
-    ``n`` rows through one task.
+    One pass counts ranks by bin, a second one keeps the rows up to the bin of the
+    last row drawn, ``n`` and about 1% more (rows whose ranks are equal share a bin),
+    and only those are written and sorted, by range.  ``limit`` after a sort would send all ``n`` rows through one task.
     """
-    ranked = measured(df.withColumn("_rank", rank))
-    total = ranked.count()
-    if n >= total:
-        return ranked.drop("_rank")
-    share = min(1.0, 1.05 * n / total + 1e-3)
-    cutoff = ranked.agg(F.percentile_approx("_rank", share, 10_000).alias("c")).first()["c"]
-    near = ranked.filter(F.col("_rank") <= F.lit(cutoff))
-    if near.count() < n:
-        near = ranked
+    if n <= 0:
+        return df.limit(0)
+    ranked = df.withColumn("_rank", rank)
+    last = last_bin(ranked, n)
+    if last is None:
+        return df
+    near = measured(ranked.filter(rank_bin(F.col("_rank")) <= last))
     indexed = ranged_index(near, [F.col("_rank"), *[F.col(t) for t in ties]])
     return indexed.filter(F.col("index") < n).drop("index", "_rank")
 
