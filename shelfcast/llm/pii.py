@@ -3,7 +3,8 @@
 The patterns (email, ip, card, phone) are searched with linear scans.  The field
 works on windows of tokens around digits, ``@``, bracketed ``at``, and the word
 ``at`` before a dotted host or, within five words, ``dot``: every run
-of up to LONGEST tokens is a candidate segment with features of the whole span
+of up to LONGEST tokens is a candidate segment, and every maximal address of up to
+SPELT tokens, blanks included; with features of the whole span
 (shape, digits, checksum, number range, form of an address, neighbours), and dynamic programming
 over segment ends chooses boundaries and kinds jointly.  Its weights are learned
 by gradient steps on the conditional likelihood; the labels are the pattern
@@ -43,7 +44,12 @@ IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-LONGEST = 16
+# Tokens of a segment, and of an address, which takes more when its marks are spelt out.
+LONGEST, SPELT = 16, 48
+# Tokens around a digit, and around a mark of an address, that the field sees.
+REACH, ADDRESS_REACH = 16, 32
+# Windows of more characters are decoded but not drawn for training.
+LONGEST_DRAWN = 600
 # Tokens decoded at a time, so that memory does not follow a long run of numbers.
 STRETCH = 2048
 # Windows without a span, and windows with a span of each kind, that the field learns from.
@@ -64,6 +70,9 @@ TRIGGER = re.compile(f"{DIGIT_OR_AT}|{SPOKEN}")
 AT = r"(?:@|\s*[(\[{]\s?at\s?[)\]}]\s*|\s+at\s+)"
 DOT = r"(?:\.|\s*[(\[{]\s?(?:dot|\.)\s?[)\]}]\s*|\s+dot\s+)"
 ADDRESS = re.compile(rf"(?i)[a-z0-9_%+-]+(?:{DOT}[a-z0-9_%+-]+)*{AT}[a-z0-9-]+(?:{DOT}[a-z0-9-]+)+")
+# The same, as much as there is of it, from the beginning of a word.  Possessive words and counted labels keep it linear.
+WHOLE_ADDRESS = re.compile(
+    rf"(?i)(?<![a-z0-9_%+-])[a-z0-9_%+-]++(?:{DOT}[a-z0-9_%+-]++){{0,8}}{AT}[a-z0-9-]++(?:{DOT}[a-z0-9-]++){{1,8}}")
 
 Span = tuple[int, int, int]  # start, end, number of the kind
 
@@ -121,12 +130,14 @@ def windows_of(text: str) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for m in TRIGGER.finditer(text):
         k = int(np.searchsorted(starts, m.start(), side="right")) - 1
-        first = int(starts[max(0, k - LONGEST)])
-        last = int(starts[k + LONGEST + 1]) if k + LONGEST + 1 < len(starts) else len(text)
-        if out and first <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], last)
-        else:
-            out.append([first, last])
+        reach = REACH if m.group().isdecimal() else ADDRESS_REACH
+        first = int(starts[max(0, k - reach)])
+        last = int(starts[k + reach + 1]) if k + reach + 1 < len(starts) else len(text)
+        # a wide reach may begin before windows that were separate so far
+        while out and first <= out[-1][1]:
+            a, b = out.pop()
+            first, last = min(first, a), max(last, b)
+        out.append([first, last])
     return [(a, b) for a, b in out]
 
 
@@ -136,7 +147,7 @@ def shape(text: str) -> str:
     return re.sub(r"[0-9]+", lambda m: str(min(5, len(m.group()))), out)
 
 
-def segment_features(text: str, before: str, after: str, tokens: int) -> list[int]:
+def segment_features(text: str, before: str, after: str, tokens: int, whole: bool) -> list[int]:
     digits = digits_of(text)
     form = shape(text)
     numbers = re.findall(r"[0-9]+", text)
@@ -144,11 +155,11 @@ def segment_features(text: str, before: str, after: str, tokens: int) -> list[in
     facts = [
         "bias", f"form {form[:40]}", f"loose {loose[:40]}", f"digits {min(20, len(digits))}",
         f"before {shape(before)[-1:]}", f"after {shape(after)[:1]}", f"first {form[:1]}", f"last {form[-1:]}",
-        f"at {'@' in text or bool(re.search(r'(?i)[^a-z]at[^a-z]', text))}", f"tokens {tokens}",
+        f"at {'@' in text or bool(re.search(r'(?i)[^a-z]at[^a-z]', text))}", f"tokens {min(tokens, LONGEST)}",
         f"letters {bool(re.search('[A-Za-z]', text))}",
     ]
     if ADDRESS.fullmatch(text):
-        facts.append("address")
+        facts += ["address", f"whole address {whole}"]
     if 14 <= len(digits) <= 19:
         facts.append(f"luhn {luhn(digits)} {'a' in form}")
     if len(numbers) == 4:
@@ -164,8 +175,16 @@ class Lattice:
         n = len(self.marks) - 1
         token = [text[a:b] for a, b in zip(self.marks, self.marks[1:])]
         busy = [bool(re.search(r"[0-9@]", t)) or t.lower() == "at" for t in token]
+        place = {mark: k for k, mark in enumerate(self.marks)}
+        addresses = {(place.get(m.start(), -1), place.get(m.end(), -1)) for m in WHOLE_ADDRESS.finditer(text)}
         self.segments: list[tuple[int, int]] = []
         features = []
+
+        def add(s: int, e: int) -> None:
+            self.segments.append((s, e))
+            features.append(segment_features(
+                text[self.marks[s]:self.marks[e]], token[s - 1] if s else "", token[e] if e < n else "", e - s, (s, e) in addresses))
+
         for s in range(n):
             if not (token[s].isalnum() or token[s] in "+("):
                 continue
@@ -175,9 +194,10 @@ class Lattice:
                     break
                 seen |= busy[e - 1]
                 if seen and token[e - 1].isascii() and token[e - 1].isalnum() and (e - s > 1 or len(token[s]) > 5):
-                    self.segments.append((s, e))
-                    features.append(segment_features(
-                        text[self.marks[s]:self.marks[e]], token[s - 1] if s else "", token[e] if e < n else "", e - s))
+                    add(s, e)
+        for s, e in sorted(addresses):
+            if s >= 0 and LONGEST < e - s <= SPELT and "\n" not in token[s:e]:
+                add(s, e)
         width = max(map(len, features), default=1)
         # short lists repeat an index that always weighs nothing
         self.features = np.array([f + [FEATURES] * (width - len(f)) for f in features], dtype=np.int64).reshape(-1, width)
@@ -300,7 +320,7 @@ def stretches(text: str, a: int, b: int) -> Iterator[tuple[int, int, int, int]]:
     the longest segment and its neighbours.
     """
     marks = [a + m.start() for m in TOKEN.finditer(text[a:b])]
-    many, around = len(marks), 4 * LONGEST
+    many, around = len(marks), 2 * (LONGEST + SPELT)
     if many <= STRETCH:
         yield a, b, a, b
         return
@@ -348,7 +368,7 @@ def train(
         for frame in batches:
             for own in frame["text"]:
                 for a, b in windows_of(own):
-                    if b - a > 600:
+                    if b - a > LONGEST_DRAWN:
                         continue
                     part = own[a:b]
                     spans = base_spans(part)
