@@ -176,6 +176,28 @@ def tune(
     return fitted[errors.index(min(errors))], list(zip(described, errors))
 
 
+def tune_rounds(
+    rows: DataFrame, depths: Sequence[int], rounds: int, numeric: Sequence[str], categorical: Sequence[str] = (),
+    label: str = "sales", *, held: Column, seed: int = 1,
+) -> list[tuple[int, int, float]]:
+    """``(depth, rounds, rmse)`` on the ``held`` rows, for every number of rounds up to ``rounds``: one fit per depth.
+
+    A boosted model of ``n`` rounds is the beginning of a longer one, so the errors
+    of all shorter models are read off the longest in one pass over the held rows.
+    """
+    complete = rows.select(*dict.fromkeys([*numeric, *categorical, label]), held.alias("_held")).na.drop("any")
+    found = []
+    with kept(complete) as stored:
+        prepared = Pipeline(stages=feature_stages(numeric, categorical)).fit(stored.filter(~F.col("_held")))
+        with kept(prepared.transform(stored).select("features", label, "_held")) as features:
+            past, ahead = features.filter(~F.col("_held")), features.filter("_held")
+            for depth in depths:
+                model = tree_model(label, rounds=rounds, depth=depth, seed=seed).fit(past)
+                errors = model.evaluateEachIteration(ahead, "squared")
+                found += [(depth, k + 1, float(e) ** 0.5) for k, e in enumerate(errors)]
+    return found
+
+
 def importances(model: PipelineModel, rows: DataFrame) -> list[tuple[str, float]]:
     """Feature names with the importance (trees) or coefficient (linear) the model gives them."""
     last = next(s for s in reversed(model.stages) if hasattr(s, "featureImportances") or hasattr(s, "coefficients"))

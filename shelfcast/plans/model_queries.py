@@ -12,7 +12,7 @@ from shelfcast.operators.aggregates import share_of_total, target_means
 from shelfcast.operators.evaluation import weighted_scores
 from shelfcast.operators.halving import series_scorer, successive_halving, winners
 from shelfcast.operators.models import (
-    importances, poisson_model, predictor, share_model, softmax_share_model, train, tree_model, tune, tweedie_model, unpenalised,
+    importances, poisson_model, predictor, share_model, softmax_share_model, train, tree_model, tune_rounds, tweedie_model, unpenalised,
 )
 from shelfcast.operators.recursion import average_runs, recursive_forecast, seasonal_forecast
 from shelfcast.operators.reshape import pivot_steps
@@ -359,15 +359,20 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Settings of the global model: every depth with every number of rounds.
+DEPTHS, ROUNDS = [3, 4, 5, 6], 24
+
+
 @query("tune_global")
 def tune_global(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A tree model's depth and rounds chosen on the last 28 days."""
+    """A tree model's depth and rounds, 96 settings, measured on the last 28 days."""
     horizon = panel_horizon(spark, sf_dir)
     days = dept_days(panel_sales(spark, sf_dir), horizon.train_last)
     rows = series_features(days, SERIES_KEYS)
     held = F.col("d") > horizon.train_last - horizon.steps
-    _, results = tune(rows, tree_model(), {"maxDepth": [2, 4], "maxIter": [3, 6]}, LAGGED, SERIES_KEYS, held=held)
-    return spark.createDataFrame(results, "params string, rmse double")
+    results = tune_rounds(rows, DEPTHS, ROUNDS, LAGGED, SERIES_KEYS, held=held)
+    named = [(f"maxDepth={depth}, maxIter={rounds}", rmse) for depth, rounds, rmse in results]
+    return spark.createDataFrame(named, "params string, rmse double")
 
 
 @query("feature_importance")
@@ -375,7 +380,7 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     horizon = panel_horizon(spark, sf_dir)
     days = dept_days(panel_sales(spark, sf_dir), horizon.train_last)
     rows = cut_lineage(series_features(days, SERIES_KEYS).na.drop("any"))
-    return spark.createDataFrame(importances(train(rows, tree_model(rounds=5), LAGGED, SERIES_KEYS), rows), "feature string, importance double")
+    return spark.createDataFrame(importances(train(rows, tree_model(), LAGGED, SERIES_KEYS), rows), "feature string, importance double")
 
 
 # --- one model per series ----------------------------------------------------

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.operators.evaluation import blended_scores, overall_score, weighted_scores
-from shelfcast.operators.models import poisson_model, train, tree_model, tune
+from shelfcast.operators.models import poisson_model, train, tree_model, tune, tune_rounds
 from shelfcast.operators.projection import distinct_values, one_hot
 from shelfcast.operators.reshape import item_matrix
 from shelfcast.operators.seasonal import CHUNK, design, fit_predict, forecast_series, random_candidates, score_candidates
@@ -115,6 +115,18 @@ def test_tuning_measures_the_held_rows(spark):
     assert min(r for _, r in results) > 0
 
 
+def test_errors_of_shorter_models_are_read_off_the_longest(spark):
+    """One fit of four rounds gives the errors that fits of one to four rounds have."""
+    rows = [(float(k % 17), float((k * k) % 11), float((k % 17) * (k % 5) + 1), k % 5 == 4) for k in range(300)]
+    df = spark.createDataFrame(rows, "x double, z double, sales double, late boolean").repartition(1).cache()
+    got = {(d, n): e for d, n, e in tune_rounds(df, [2, 3], 4, ["x", "z"], held=F.col("late"))}
+    assert set(got) == {(d, n) for d in (2, 3) for n in (1, 2, 3, 4)}
+    _, results = tune(df, tree_model(), {"maxDepth": [2, 3], "maxIter": [1, 2, 4]}, ["x", "z"], held=F.col("late"))
+    for described, error in results:
+        depth, rounds = (int(part.split("=")[1]) for part in described.split(", "))
+        assert abs(got[depth, rounds] - error) < 1e-9
+
+
 def test_blend_scores_equal_scores_of_blended_errors(spark, small):
     horizon, history, earned = score_history(spark, small)
     from shelfcast.plans.score_queries import _wide_errors
