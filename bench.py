@@ -21,6 +21,7 @@ HEADLINE = [
     "join_models", "blend", "stack_weights", "stack_apply", "top_down", "submission", "recursive_seasonal",
     "recursive_forecast", "per_series_forecast", "topdown_volume", "blend_search", "wrmsse_recursive", "alpha_ensemble",
     "recursive_model", "tune_per_series", "bootstrap_mean", "recursive_in_partition", "stored_features", "trend_law",
+    "share_loglinear", "refit_volume", "out_of_fold_encode", "sparse_matrix",
 ]
 
 
