@@ -6,8 +6,8 @@ import pytest
 from helpers import SCHEMA, awkward, frame, words
 from oracle_compare import compare, connect
 from pyspark.sql import functions as F
-from test_free import brute_simhash, components_of
 from test_native import normal
+from test_wide import brute_groups
 
 import corpus_pipeline
 from shelfcast.llm import langid, packing
@@ -41,7 +41,7 @@ def test_stages_against_brute_force(spark, small):
     assert sorted(r.doc_id for r in exact.collect()) == sorted(first.values())
     near = store(stage["near_dedup"](spark, exact, small), "t")
     rows = sorted(exact.collect(), key=lambda r: r.doc_id)
-    roots = components_of([brute_simhash(r.text) for r in rows])
+    roots = brute_groups([r.text for r in rows])
     kept = {}
     for r, c in zip(rows, roots):
         kept.setdefault(c, r.doc_id)
