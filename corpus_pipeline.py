@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.llm import exact_dedup, langid, mixing, packing, simhash
+from shelfcast.llm import exact_dedup, langid, mixing, packing, simhash_wide
 from shelfcast.llm.common import documents, store
 
 
@@ -24,8 +24,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return simhash.drop_near_duplicates(docs)
+    """One document of each group of near copies: close fingerprints, five-word similarity of 0.8 or more."""
+    return simhash_wide.drop_near_copies(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
