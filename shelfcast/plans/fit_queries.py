@@ -12,7 +12,7 @@ from shelfcast.operators.reshape import sparse_rows
 from shelfcast.operators.windows import series_features
 from shelfcast.functions.numeric import hashed_uniform
 from shelfcast.plans.feature_queries import UNIFORM, features_sql
-from shelfcast.plans.panel import SERIES_KEYS, dept_days, panel_calendar, panel_horizon, panel_sales
+from shelfcast.plans.panel import SERIES_KEYS, dept_days, panel_calendar, panel_horizon, panel_sales, panel_tasks
 from shelfcast.plans.panel_sql import with_panel
 from shelfcast.plans.registry import query, r6
 from shelfcast.session import cut_lineage, measured, scratch_path
@@ -26,8 +26,10 @@ def _fitted_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     horizon = panel_horizon(spark, sf_dir)
     calendar = panel_calendar(spark, sf_dir).select("d", "wday", F.quarter("date").alias("quarter"))
     dated = panel_sales(spark, sf_dir).filter(F.col("d") <= horizon.train_last).join(calendar, "d")
-    cells = share_cells(dated, ["dept_id"], ["item_id", "store_id"], calendar.select("wday", "quarter").distinct())
-    return measured(fit_shares(cells, "item_id", ["dept_id"], [[c] for c in CONTEXT], CONTEXT))
+    # dealt by item once: pairs, cells and the items' rows are made where the sales lie
+    dealt = dated.repartition(panel_tasks(spark, sf_dir), "item_id")
+    cells = share_cells(dealt, ["dept_id"], ["item_id", "store_id"], calendar.select("wday", "quarter").distinct())
+    return fit_shares(cells, "item_id", ["dept_id"], [[c] for c in CONTEXT], CONTEXT)
 
 
 @query("share_loglinear")
@@ -47,7 +49,8 @@ UNION ALL
 SELECT 'dept', dept_id, round({1 + PRIOR} * sum(sales), 3), 0.0 FROM sales, bounds WHERE d <= t GROUP BY ALL""")
 def share_loglinear_law(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fitted and sold amounts agree on every item, store and department, to half a hundredth of each."""
-    fitted = _fitted_shares(spark, sf_dir)
+    pairs = _fitted_shares(spark, sf_dir).groupBy("item_id", "store_id", "dept_id")
+    fitted = measured(pairs.agg(F.sum("seen").alias("seen"), F.sum("fit").alias("fit")))
     levels = [
         margin_gap(fitted, [f"{level}_id"]).select(
             F.lit(level).alias("level"), F.col(f"{level}_id").alias("name"), F.round("seen", 3).alias("sold"),
