@@ -23,7 +23,7 @@ from shelfcast.operators.trend import holiday_windows, trend_forecast
 from shelfcast.operators.windows import growth_rates, series_features
 from shelfcast.plans.feature_queries import ROLLED, STORE_DEPT_SQL, features_sql, panel_features, store_dept_table
 from shelfcast.plans.panel import (
-    KEYS, SERIES_KEYS, baseline_forecasts, dept_days, panel_calendar, panel_grid, panel_horizon, panel_rates, panel_sales,
+    KEYS, SERIES_KEYS, dept_days, panel_calendar, panel_grid, panel_horizon, panel_rates, panel_sales, recent_series,
 )
 from shelfcast.plans.panel_sql import with_panel
 from shelfcast.plans.registry import query, r6
@@ -75,8 +75,7 @@ def wrmsse_top_down(spark: SparkSession, sf_dir: str) -> DataFrame:
     volumes = measured(_seasonal_volumes(history, horizon.train_last)).select(
         "store_id", "dept_id", "h", F.lit("seasonal").alias("forecast_model"), F.col("yhat").alias("volume")
     )
-    base = baseline_forecasts(spark, sf_dir)
-    errors = top_down_forecast(base, volumes).select(*KEYS, "h", (F.col("truth") - F.col("yhat")).alias("error"))
+    errors = top_down_forecast(measured(recent_series(spark, sf_dir)), volumes).select(*KEYS, "h", (F.col("truth") - F.col("yhat")).alias("error"))
     return weighted_scores(history, errors, earned, horizon.train_last).select("level", r6("score"))
 
 
