@@ -11,7 +11,7 @@ from shelfcast.horizon import Horizon
 from shelfcast.operators.joins import with_calendar
 from shelfcast.operators.windows import series_features
 from shelfcast.plans.feature_queries import ROLLED, ROUND_ROLLED, features_sql
-from shelfcast.plans.panel import KEYS, date_of, panel_calendar, panel_days, panel_horizon, panel_sales
+from shelfcast.plans.panel import KEYS, date_of, panel_calendar, panel_days, panel_horizon, panel_sales, panel_tasks
 from shelfcast.plans.panel_sql import with_panel
 from shelfcast.plans.registry import query, r6
 from shelfcast.session import measured
@@ -43,7 +43,7 @@ def store_features(store: PanelStore) -> DataFrame:
 SELECT id, d, sales, lag_7, lag_28, {ROUND_ROLLED}, wday, CAST(weekofyear(date) AS SMALLINT) AS week, month FROM feats""")
 def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The features of the panel, from a store that is bucketed and sorted by series."""
-    with temporary_store(spark, weeks=104) as (store, path):
+    with temporary_store(spark, weeks=104, buckets=panel_tasks(spark, sf_dir)) as (store, path):
         stored_panel(spark, sf_dir, store, path, panel_horizon(spark, sf_dir))
         dated = with_calendar(store_features(store), panel_calendar(spark, sf_dir).select("d", "date", "wday", "month"))
         table = dated.withColumn("week", date_parts("date")["week"]).select(
@@ -57,7 +57,7 @@ def append_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A panel stored a week ago, with the last week of history appended: the same rows as one made today."""
     today = panel_horizon(spark, sf_dir)
     before = Horizon(today.label, today.train_last - WEEK, today.first_day - timedelta(days=WEEK))
-    with temporary_store(spark, weeks=104) as (store, path):
+    with temporary_store(spark, weeks=104, buckets=panel_tasks(spark, sf_dir)) as (store, path):
         stored_panel(spark, sf_dir, store, path, before)
         append_days(spark, sf_dir, store, before.train_last, today)
         rows = store.read().withColumn("date", date_of())
