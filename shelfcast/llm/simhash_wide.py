@@ -42,7 +42,7 @@ SHINGLE = 5
 SIZE = 3
 BITS = 10
 BLOCKS, SHARED = 9, 3
-CROWDED = 128
+CROWDED = 16
 
 
 def block_masks(blocks: int = BLOCKS, shared: int = SHARED) -> list[int]:
