@@ -91,6 +91,7 @@ def sample_with_replacement(df: DataFrame, keys: Sequence[str], seed: int = 0) -
     Each row is repeated a Poisson(1) number of times, drawn from its key: the
     limit of drawing as many rows as there are, without counting or moving any.
     """
-    times = hashed_poisson(hashed_uniform(*keys, seed=seed))
-    repeated = df.withColumn("_copy", F.explode(F.when(times > 0, F.sequence(F.lit(1), times)).otherwise(F.array().cast("array<int>"))))
-    return repeated.drop("_copy")
+    draw = F.array(hashed_uniform(*keys, seed=seed))
+    # the draw is bound by the lambda: Spark would put the digest into each of the comparisons
+    times = F.get(F.transform(draw, lambda u: hashed_poisson(u)), F.lit(0))
+    return df.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times))).drop("_copy")
