@@ -9,12 +9,15 @@ have a Jaccard similarity of 0.8 or more.  Documents with one fingerprint are
 one node, whose first row gives the set, and count as copies.
 
 Fingerprints and choices are shuffled once, without texts, and compared in runs
-of one block value.  A run of more than CROWDED fingerprints (a large group of
-near copies) does not give all its pairs: it first gives its least member and
-the member before each one; links found there join most of the group, and the
-next rounds look only at pairs whose ends are still apart.  When a round joins
-nothing more, all remaining pairs of different components are verified, so no
-candidate is lost.
+of one block value; a pair comes from the first choice that it shares.  A run of
+more than CROWDED fingerprints (a large group of near copies) does not give all
+its pairs: it first gives its least member and the member before each one; links
+found there join most of the group, and the next rounds look only at pairs whose
+ends are still apart.  When a round joins nothing more, the remaining pairs of
+different components are compared.  There each fingerprint brings a parity mark of
+its set: two marks never differ in more bits than the sets differ in shingles, so
+a pair whose marks already differ too much is none, and is not given.  No
+candidate that could link is lost.
 
 Defined results: NULL and empty texts have fingerprint zero and an empty set;
 they are one node.  A text of fewer than five words is one shingle.  Of a group
@@ -43,6 +46,9 @@ SIZE = 3
 BITS = 10
 BLOCKS, SHARED = 9, 3
 CROWDED = 16
+# Sets are alike at a Jaccard similarity of OVER / UNDER.
+OVER, UNDER = 4, 5
+MARK_BITS = 256
 
 
 def block_masks(blocks: int = BLOCKS, shared: int = SHARED) -> list[int]:
@@ -74,43 +80,76 @@ def shingle_sets(text: Column, size: int) -> Column:
     return of(text)
 
 
-def pairs_of(fp: np.ndarray, part: np.ndarray, end: np.ndarray, at: np.ndarray, bits: int) -> Iterator[tuple]:
-    """Pairs within ``bits`` bits and of different parts: each position of ``at`` with all later ones of its run."""
-    step = 1
-    at = at[at + step < end[at]]
-    while len(at):
-        yield close(fp, part, at, at + step, bits)
-        step += 1
-        at = at[at + step < end[at]]
+def parity_mark(items: np.ndarray) -> np.ndarray:
+    """For each of MARK_BITS classes of hashes, the parity of their number in a set, packed into longs."""
+    odd = np.bincount(np.asarray(items, dtype=np.int32).view(np.uint32) % MARK_BITS, minlength=MARK_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def close(fp: np.ndarray, part: np.ndarray, x: np.ndarray, y: np.ndarray, bits: int) -> tuple:
-    same = (np.bitwise_count((fp[x] ^ fp[y]).view(np.uint64)) <= bits) & (part[x] != part[y]) & (fp[x] != fp[y])
-    return fp[x[same]], fp[y[same]]
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def parity_marks(items: pd.Series) -> pd.Series:
+    return items.map(parity_mark)
 
 
-def run_pairs(rows: DataFrame, masks: list[int], bits: int, crowded: int | None) -> DataFrame:
+def run_pairs(rows: DataFrame, masks: list[int], bits: int, crowded: int | None, marked: bool = False) -> DataFrame:
     """Candidates ``a < b`` from ``rows`` (``choice, fp, part``) that share a choice's block value.
 
     Runs of more than ``crowded`` rows give only the pairs with their first row and with the row
-    before; each of their rows also comes out as ``a = b`` with its choice.  None: all pairs.
+    before; each of their rows comes out once as ``b`` with its choice (-1 for other pairs), beside
+    the first row if they are a candidate, else beside itself.  None: all pairs.  ``marked`` rows
+    have the parity ``mark`` and the size ``n`` of their sets as well; they give only pairs that
+    the marks leave open, and nothing else.
     """
     values = np.array(masks, dtype=np.int64)
     limit = np.iinfo(np.int64).max if crowded is None else crowded
 
-    def compare(choice, fp, part, starts) -> Iterator[pa.RecordBatch]:
+    def compare(columns, starts) -> Iterator[pa.RecordBatch]:
+        choice, fp, part, *sets = columns
         ends = np.append(starts[1:], len(fp))
         size = np.repeat(ends - starts, ends - starts)
         start, end = np.repeat(starts, ends - starts), np.repeat(ends, ends - starts)
-        for x, y in pairs_of(fp, part, end, np.flatnonzero((size > 1) & (size <= limit)), bits):
-            yield batch(np.minimum(x, y), np.maximum(x, y), np.full(len(x), -1, dtype=np.int32))
+
+        def close(x, y) -> np.ndarray:
+            same = (np.bitwise_count((fp[x] ^ fp[y]).view(np.uint64)) <= bits) & (part[x] != part[y]) & (fp[x] != fp[y])
+            if marked:
+                mark, n = sets
+                at = np.flatnonzero(same)
+                differ = np.bitwise_count((mark[x[at]] ^ mark[y[at]]).view(np.uint64)).sum(axis=1, dtype=np.int64)
+                same[at] = (OVER + UNDER) * differ <= (UNDER - OVER) * (n[x[at]] + n[y[at]])
+            return same
+
+        def pairs(x, y) -> Iterator[pa.RecordBatch]:
+            same = close(x, y)
+            x, y = x[same], y[same]
+            if len(x):
+                first = first_shared(fp[x] ^ fp[y], choice[x])
+                x, y = x[first], y[first]
+                yield batch(np.minimum(fp[x], fp[y]), np.maximum(fp[x], fp[y]), np.full(len(x), -1, dtype=np.int32))
+
+        step, at = 1, np.flatnonzero((size > 1) & (size <= limit))
+        at = at[at + step < end[at]]
+        while len(at):
+            yield from pairs(at, at + step)
+            step += 1
+            at = at[at + step < end[at]]
         crowd = np.flatnonzero(size > limit)
         if len(crowd):
-            yield batch(fp[crowd], fp[crowd], choice[crowd])
-            later = crowd[crowd > start[crowd]]
-            for other in (start[later], later - 1):
-                x, y = close(fp, part, other, later, bits)
-                yield batch(np.minimum(x, y), np.maximum(x, y), np.full(len(x), -1, dtype=np.int32))
+            least = start[crowd]
+            near = close(least, crowd)
+            if marked:
+                least, own, at = least[near], crowd[near], np.full(near.sum(), -1, dtype=np.int32)
+            else:
+                least, own, at = np.where(near, least, crowd), crowd, choice[crowd]
+            yield batch(np.minimum(fp[least], fp[own]), np.maximum(fp[least], fp[own]), at)
+            later = crowd[crowd > start[crowd] + 1]
+            yield from pairs(later - 1, later)
+
+    def first_shared(differ, choice) -> np.ndarray:
+        """Pairs that share no choice before theirs; a crowded one comes up again when its ends are still apart."""
+        first = np.ones(len(differ), dtype=bool)
+        for k in range(choice.max()):
+            first &= ((differ & values[k]) != 0) | (choice <= k)
+        return first
 
     def batch(a, b, choice) -> pa.RecordBatch:
         return pa.record_batch({"a": pa.array(a), "b": pa.array(b), "choice": pa.array(choice, pa.int32())})
@@ -119,32 +158,36 @@ def run_pairs(rows: DataFrame, masks: list[int], bits: int, crowded: int | None)
         kept = None
         for got in batches:
             now = [got.column(n).to_numpy(zero_copy_only=False) for n in ("choice", "fp", "part")]
+            if marked:
+                now += [got.column("mark").flatten().to_numpy().reshape(-1, MARK_BITS // 64), got.column("n").to_numpy()]
             if kept is not None:
                 now = [np.concatenate(both) for both in zip(kept, now)]
-            choice, fp, part = now
+            choice, fp = now[:2]
             if not len(fp):
                 continue
             key = fp & values[choice]
             starts = np.append(0, np.flatnonzero((choice[1:] != choice[:-1]) | (key[1:] != key[:-1])) + 1)
             last = starts[-1]
             if last:
-                yield from compare(choice[:last], fp[:last], part[:last], starts[:-1])
+                yield from compare([column[:last] for column in now], starts[:-1])
             kept = [column[last:] for column in now]
         if kept is not None:
-            yield from compare(*kept, np.zeros(1, dtype=np.int64))
+            yield from compare(kept, np.zeros(1, dtype=np.int64))
 
     block = F.col("fp").bitwiseAND(F.get(F.array(*[F.lit(m) for m in masks]), F.col("choice")))
+    columns = ["choice", "fp", "part", *(["mark", "n"] if marked else [])]
     return (
-        rows.select("choice", "fp", "part").repartition("choice", block).sortWithinPartitions("choice", block, "fp")
+        rows.select(*columns).repartition("choice", block).sortWithinPartitions("choice", block, "fp")
         .mapInArrow(of, "a long, b long, choice int")
     )
 
 
-def verified(pairs: DataFrame, sets: DataFrame, likeness: tuple[int, int] = (4, 5)) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, likeness: tuple[int, int] = (OVER, UNDER)) -> DataFrame:
     """The ``pairs`` (``a, b``, stored) whose sets reach the similarity; a pivot of many pairs is joined by broadcast."""
     counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-    left = store(counts.join(sets.withColumnsRenamed({"fp": "a", "items": "x"}), "a"), "wide-left")
-    both = attach_groups(pairs, left, "a", "n").drop("n").join(sets.withColumnsRenamed({"fp": "b", "items": "y"}), "b")
+    left = store(counts.join(sets.select(F.col("fp").alias("a"), F.col("items").alias("x")), "a"), "wide-left")
+    right = sets.select(F.col("fp").alias("b"), F.col("items").alias("y"))
+    both = attach_groups(pairs, left, "a", "n").drop("n").join(right, "b")
     over, under = likeness
     common = F.size(F.array_intersect("x", "y"))
     return (
@@ -161,10 +204,14 @@ def links(prints: DataFrame, texts: DataFrame, bits: int = BITS) -> DataFrame:
         run_pairs(prints.select(choices, "fp", F.col("fp").alias("part")), masks, bits, CROWDED).distinct(), "wide-pairs"
     )
     pairs = store(found.filter("a <> b").select("a", "b").distinct(), "wide-candidates")
-    crowd = store(found.filter("a = b").select("choice", F.col("a").alias("fp")), "wide-crowd")
+    crowd = store(found.filter("choice >= 0").select("choice", F.col("b").alias("fp")), "wide-crowd")
     nodes = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).union(crowd.select("fp")).distinct()
     wanted = store(nodes.join(prints, "fp").select("fp", "_row"), "wide-nodes")
     sets = store(texts.join(wanted, "_row").select("fp", shingle_sets(F.col("text"), SHINGLE).alias("items")), "wide-sets")
+    if not crowd.isEmpty():
+        members = sets.join(crowd.select("fp").distinct(), "fp", "left_semi")
+        marks = members.select("fp", parity_marks("items").alias("mark"), F.size("items").cast("long").alias("n"))
+        crowd = store(crowd.join(store(marks, "wide-marks"), "fp"), "wide-marked")
     edges = store(verified(pairs, sets), "wide-links")
     rounds = not crowd.isEmpty()
     while rounds:
@@ -180,8 +227,8 @@ def links(prints: DataFrame, texts: DataFrame, bits: int = BITS) -> DataFrame:
 def apart(crowd: DataFrame, edges: DataFrame, masks: list[int], bits: int, crowded: int | None) -> DataFrame:
     """Candidates of crowded runs whose ends are in different components of ``edges``."""
     roots = connected_components(edges).select(F.col("node").alias("fp"), "root")
-    rows = crowd.join(roots, "fp", "left").select("choice", "fp", F.coalesce("root", "fp").alias("part"))
-    return run_pairs(rows, masks, bits, crowded).filter("a <> b").select("a", "b").distinct()
+    rows = crowd.join(roots, "fp", "left").select("choice", "fp", F.coalesce("root", "fp").alias("part"), "mark", "n")
+    return run_pairs(rows, masks, bits, crowded, marked=True).select("a", "b").distinct()
 
 
 def drop_near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = SIZE, bits: int = BITS) -> DataFrame:

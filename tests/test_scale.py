@@ -2,12 +2,15 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from shelfcast.functions.numeric import hashed_poisson, hashed_uniform
 from shelfcast.llm import simhash_wide
 from shelfcast.operators import loglinear
 from shelfcast.operators.reshape import pivot_steps
+from shelfcast.operators.sampling import sample_with_replacement
 from shelfcast.plans import panel, store_queries
 from shelfcast.plans.catalog import QUERIES
 
@@ -87,3 +90,40 @@ def test_rows_of_a_group_of_near_copies_grow_with_its_size(spark):
     n = rows.count()
     found = simhash_wide.run_pairs(rows.select(F.col("choice"), "fp", "part"), masks, 64, simhash_wide.CROWDED)
     assert n > 40 and found.count() <= 3 * n
+
+
+def test_a_near_pair_comes_from_one_choice(spark):
+    masks = simhash_wide.block_masks()
+    rows = spark.range(2).selectExpr("id as fp", "id as part").withColumn(
+        "choice", F.explode(F.sequence(F.lit(0), F.lit(len(masks) - 1))))
+    assert [tuple(r) for r in simhash_wide.run_pairs(rows, masks, 10, 16).collect()] == [(0, 1, -1)]
+
+
+def test_members_of_a_crowd_give_only_pairs_that_could_link(spark):
+    r = random.Random(4)
+    # 60 fingerprints of one run: sets of their own, but for one pair of like ones
+    sets = [sorted(r.getrandbits(31) for _ in range(50)) for _ in range(60)]
+    sets[59] = sets[7][:47] + [1, 2, 3]
+    rows = [(0, k, k, simhash_wide.parity_mark(s).tolist(), len(s)) for k, s in enumerate(sets)]
+    rows = spark.createDataFrame(rows, "choice int, fp long, part long, mark array<long>, n long")
+    found = simhash_wide.run_pairs(rows, [~63], 64, None, marked=True).select("a", "b").collect()
+    assert [tuple(p) for p in found] == [(7, 59)]
+
+
+def test_marks_never_differ_more_than_their_sets():
+    r = random.Random(5)
+    for _ in range(200):
+        own = {r.getrandbits(31) for _ in range(r.randint(0, 300))}
+        other = {x for x in own if r.random() < 0.8} | {r.getrandbits(31) for _ in range(r.randint(0, 40))}
+        a, b = (simhash_wide.parity_mark(np.array(sorted(s), dtype=np.int32)) for s in (own, other))
+        assert np.bitwise_count((a ^ b).view(np.uint64)).sum() <= len(own ^ other)
+
+
+def test_a_draw_with_replacement_takes_its_digest_twice_at_most(spark):
+    rows = spark.range(3000).selectExpr("id", "cast(id % 7 as int) as d")
+    drawn = sample_with_replacement(rows, ["id", "d"], seed=19)
+    # once for the copies, once where Spark drops the rows without any
+    assert plan(drawn).count("md5(") <= 2
+    times = rows.withColumn("n", hashed_poisson(hashed_uniform("id", "d", seed=19))).filter("n > 0")
+    assert drawn.groupBy("id", "d").agg(F.count(F.lit(1)).cast("int").alias("n")).exceptAll(times).isEmpty()
+    assert drawn.count() == times.agg(F.sum("n")).first()[0]
