@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfcast.functions.numeric import MODULUS, drawn_poisson, hashed_poisson, hashed_uniform, mixed_draw, ratio
-from shelfcast.operators.hierarchy import rollup_levels
+from shelfcast.operators.hierarchy import rollup_parts
 
 
 def naive_scale(
@@ -68,10 +68,20 @@ def revenue(sales: DataFrame, prices: DataFrame, train_last: int, days: int = 28
 
 def revenue_weights(revenues: DataFrame) -> DataFrame:
     """Share of revenue of each series within its level."""
-    by_level = rollup_levels(revenues, ["revenue"], [])
+    return reduce(DataFrame.unionByName, [part.select("level", "key", "weight") for part in _weight_parts(revenues)])
+
+
+def _weight_parts(revenues: DataFrame) -> list[DataFrame]:
     # a level total equals the grand total, so one scalar normalises them all
     grand = revenues.agg(F.sum("revenue")).scalar()
-    return by_level.select("level", "key", ratio(F.col("revenue"), grand).alias("weight"))
+    return [
+        part.select(*keys, ratio(F.col("revenue"), grand).alias("weight"))
+        for keys, part in rollup_parts(revenues, ["revenue"], [])
+    ]
+
+
+def _dealt(df: DataFrame, tasks: int | None) -> DataFrame:
+    return df if tasks is None else df.repartition(tasks, "item_id")
 
 
 def weighted_scores(
@@ -82,21 +92,25 @@ def weighted_scores(
     by: Sequence[str] = (),
     steps: int = 28,
     compat: bool = False,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Score of each level (and each ``by`` value, such as a model).
 
     ``errors`` are item-level truth minus forecast per day ``h``; errors add up
     over the hierarchy, so one roll-up of them replaces one of the truth and
-    one of every forecast.  Series without a scale are left out; with
+    one of every forecast.  ``tasks`` deals history and errors by item, over
+    that many tasks: the sums, sorts and windows of the item levels stay there.  Series without a scale are left out; with
     ``compat`` they add their bare weight, as a product that skips missing
     factors would.
     """
-    levels = ["level", "key"]
-    scale = naive_scale(rollup_levels(train), levels, train_last)
     # most items miss by nothing on most days; the first day keeps every series in
     missed = errors.filter((F.col("error") != 0) | (F.col("h") == 1))
-    level_errors = rollup_levels(missed, ["error"], [*by, "h"])
-    scored = rmsse(level_errors, scale, levels, by, steps).join(revenue_weights(revenues), levels)
+    train, missed = _dealt(train, tasks), _dealt(missed, tasks)
+    level_errors = rollup_parts(missed, ["error"], [*by, "h"])
+    scored = reduce(DataFrame.unionByName, [
+        rmsse(missed, naive_scale(days, keys, train_last), keys, by, steps).join(weights, keys).select("level", *by, "weight", "rmsse")
+        for (keys, days), (_, missed), weights in zip(rollup_parts(train), level_errors, _weight_parts(revenues))
+    ])
     score = F.coalesce("rmsse", F.lit(1.0)) if compat else F.col("rmsse")
     return scored.groupBy(*by, "level").agg(F.sum(F.col("weight") * score).alias("score"))
 
@@ -109,21 +123,26 @@ def blended_scores(
     revenues: DataFrame,
     train_last: int,
     steps: int = 28,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Score ``(model, level, score)`` of every candidate blend of ``models``, whose weights add up to 1.
 
     ``errors`` has one error column per model.  The error of a blend is the same
     blend of errors, so its mean square is a quadratic form in the sums of
     products of the models' level errors: one roll-up of the model columns
-    serves any number of candidates, and item rows are never repeated.
+    serves any number of candidates, and item rows are never repeated.  ``tasks``
+    is that of :func:`weighted_scores`.
     """
-    levels = ["level", "key"]
     missed = errors.filter(reduce(operator.or_, [F.col(m) != 0 for m in models], F.col("h") == 1))
-    rolled = rollup_levels(missed, list(models), ["h"])
+    train, missed = _dealt(train, tasks), _dealt(missed, tasks)
     pairs = [(a, b) for i, a in enumerate(models) for b in models[i:]]
-    gram = rolled.groupBy(*levels).agg(*[F.sum(F.col(a) * F.col(b)).alias(f"{a}*{b}") for a, b in pairs])
-    scale = naive_scale(rollup_levels(train), levels, train_last)
-    weighted = gram.join(scale, levels).join(revenue_weights(revenues), levels)
+    products = [F.sum(F.col(a) * F.col(b)).alias(f"{a}*{b}") for a, b in pairs]
+    weighted = reduce(DataFrame.unionByName, [
+        rolled.groupBy(*keys).agg(*products).join(naive_scale(days, keys, train_last), keys).join(weights, keys)
+        .select("level", "weight", "scale", *[f"`{a}*{b}`" for a, b in pairs])
+        for (keys, days), (_, rolled), weights in zip(
+            rollup_parts(train), rollup_parts(missed, list(models), ["h"]), _weight_parts(revenues))
+    ])
 
     def score(weights: Mapping[str, float]) -> Column:
         terms = [

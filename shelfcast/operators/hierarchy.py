@@ -24,8 +24,7 @@ LEVELS = {
 }
 COARSE = ["all", "cat", "state", "dept", "store", "state_cat", "state_dept", "store_cat", "store_dept"]
 COARSE_COLUMNS = ["state_id", "store_id", "cat_id", "dept_id"]
-ITEM_LEVELS = ["item", "item_state"]
-ITEM_COLUMNS = ["item_id", "state_id"]
+ITEM_LEVELS = ["item_store", "item_state", "item"]
 
 
 def level_key(level: str) -> Column:
@@ -56,23 +55,32 @@ def _key_parts(columns: Sequence[str]) -> list[Column]:
     return [F.col(c) for c in columns]
 
 
-def rollup_levels(
+def rollup_parts(
     df: DataFrame, values: Sequence[str] = ("sales",), extra: Sequence[str] = ("d",)
-) -> DataFrame:
-    """``(level, key, extra, values)`` for all twelve levels.
+) -> list[tuple[list[str], DataFrame]]:
+    """The twelve levels as ``(keys, rows)``: a part for each of the three item levels, and one for all others.
 
-    The nine levels above items are grouping sets over store x department
-    totals, which are tiny next to the item rows; only the two item levels
-    expand the item rows; the item x store level is a plain sum.  Twelve
-    grouping sets over the item rows would copy each of them twelve times.
+    The rows of an item level have ``item_id`` among their keys and are sums by
+    item: where ``df`` is dealt by item, its sums, windows and joins need no
+    exchange.  The other part is keyed by ``level, key``: nine levels as grouping
+    sets over store x department totals, which are tiny next to the item rows,
+    and the rows without an item.
     """
     extra, values = list(extra), list(values)
-    attributes = ["item_id", "store_id", "dept_id", "cat_id", "state_id"]
-    finest = df.groupBy(*attributes, *extra).agg(*[F.sum(v).alias(v) for v in values])
-    coarse = finest.groupBy(*COARSE_COLUMNS, *extra).agg(*[F.sum(v).alias(v) for v in values])
-    levels = [
-        finest.select(F.lit("item_store").alias("level"), level_key("item_store").alias("key"), *extra, *values),
-        _grouping_sets(finest, ITEM_LEVELS, ITEM_COLUMNS, extra, values),
-        _grouping_sets(coarse, COARSE, COARSE_COLUMNS, extra, values),
-    ]
-    return reduce(DataFrame.unionByName, levels)
+    sums = [F.sum(v).alias(v) for v in values]
+    finest = df.groupBy("item_id", "store_id", "dept_id", "cat_id", "state_id", *extra).agg(*sums)
+    parts, rest = [], [_grouping_sets(finest.groupBy(*COARSE_COLUMNS, *extra).agg(*sums), COARSE, COARSE_COLUMNS, extra, values)]
+    for level in ITEM_LEVELS:
+        summed = finest if level == "item_store" else finest.groupBy(*LEVELS[level], *extra).agg(*sums)
+        rows = summed.select(F.lit(level).alias("level"), "item_id", level_key(level).alias("key"), *extra, *values)
+        parts.append((["level", "item_id", "key"], rows.filter(F.col("item_id").isNotNull())))
+        rest.append(rows.filter(F.col("item_id").isNull()).drop("item_id"))
+    return [*parts, (["level", "key"], reduce(DataFrame.unionByName, rest))]
+
+
+def rollup_levels(
+    df: DataFrame, values: Sequence[str] = ("sales",), extra: Sequence[str] = ("d",)
+) -> DataFrame:
+    """``(level, key, extra, values)`` for all twelve levels, the parts above in one table."""
+    parts = [rows.select("level", "key", *extra, *values) for _, rows in rollup_parts(df, values, extra)]
+    return reduce(DataFrame.unionByName, parts)

@@ -23,7 +23,8 @@ from shelfcast.operators.trend import holiday_windows, trend_forecast
 from shelfcast.operators.windows import growth_rates, series_features
 from shelfcast.plans.feature_queries import ROLLED, STORE_DEPT_SQL, features_sql, panel_features, store_dept_table
 from shelfcast.plans.panel import (
-    KEYS, SERIES_KEYS, dept_days, panel_calendar, panel_grid, panel_horizon, panel_rates, panel_sales, recent_series,
+    KEYS, SERIES_KEYS, dept_days, panel_calendar, panel_grid, panel_horizon, panel_rates, panel_sales, panel_tasks,
+    recent_series,
 )
 from shelfcast.plans.panel_sql import with_panel
 from shelfcast.plans.registry import query, r6
@@ -76,7 +77,8 @@ def wrmsse_top_down(spark: SparkSession, sf_dir: str) -> DataFrame:
         "store_id", "dept_id", "h", F.lit("seasonal").alias("forecast_model"), F.col("yhat").alias("volume")
     )
     errors = top_down_forecast(measured(recent_series(spark, sf_dir)), volumes).select(*KEYS, "h", (F.col("truth") - F.col("yhat")).alias("error"))
-    return weighted_scores(history, errors, earned, horizon.train_last).select("level", r6("score"))
+    scores = weighted_scores(history, errors, earned, horizon.train_last, tasks=panel_tasks(spark, sf_dir))
+    return scores.select("level", r6("score"))
 
 
 # Coefficients of a linear model that SQL can follow.
@@ -143,7 +145,8 @@ def wrmsse_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
     errors = forecast.join(truth, ["id", "d"], "left").select(
         *KEYS, (F.col("d") - horizon.train_last).alias("h"), (F.coalesce("sales", F.lit(0.0)) - F.col("yhat")).alias("error")
     )
-    return weighted_scores(history, errors, earned, horizon.train_last).select("level", r6("score"))
+    scores = weighted_scores(history, errors, earned, horizon.train_last, tasks=panel_tasks(spark, sf_dir))
+    return scores.select("level", r6("score"))
 
 
 ALPHAS = [1.035, 1.03, 1.025]

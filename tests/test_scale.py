@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from shelfcast.functions.numeric import hashed_poisson, hashed_uniform
 from shelfcast.llm import simhash_wide
 from shelfcast.operators import loglinear
+from shelfcast.operators.hierarchy import rollup_levels
 from shelfcast.operators.reshape import pivot_steps
 from shelfcast.operators.sampling import sample_with_replacement
 from shelfcast.plans import panel, store_queries
@@ -127,3 +128,20 @@ def test_a_draw_with_replacement_takes_its_digest_twice_at_most(spark):
     times = rows.withColumn("n", hashed_poisson(hashed_uniform("id", "d", seed=19))).filter("n > 0")
     assert drawn.groupBy("id", "d").agg(F.count(F.lit(1)).cast("int").alias("n")).exceptAll(times).isEmpty()
     assert drawn.count() == times.agg(F.sum("n")).first()[0]
+
+
+@pytest.mark.parametrize("name", ["hierarchy_rollup", "wrmsse", "blend_search"])
+def test_item_levels_are_summed_in_the_tasks_of_the_items(spark, small, few_lines_a_task, name):
+    shown = plan(QUERIES[name](spark, small))
+    dealt = [line for line in shown.splitlines() if "hashpartitioning(item_id" in line]
+    assert any("REPARTITION_BY_NUM" in line for line in dealt)
+    # no row of a day is dealt by item and day, or by level and key, again
+    assert not [line for line in dealt if ", d#" in line or ", h#" in line]
+
+
+def test_rows_without_an_item_keep_their_level_keys(spark):
+    rows = [(None, "s1", "d1", "c", "x", 1, 2.0), ("i1", "s1", "d1", "c", "x", 1, 3.0), (None, "s2", "d1", "c", "x", 1, 4.0)]
+    df = spark.createDataFrame(rows, "item_id string, store_id string, dept_id string, cat_id string, state_id string, d int, sales double")
+    got = {(r.level, r.key): r.sales for r in rollup_levels(df).filter("level like 'item%'").collect()}
+    assert got == {("item", ""): 6.0, ("item", "i1"): 3.0, ("item_state", "x"): 6.0, ("item_state", "i1/x"): 3.0,
+                   ("item_store", "s1"): 2.0, ("item_store", "s2"): 4.0, ("item_store", "i1/s1"): 3.0}
