@@ -183,6 +183,23 @@ def test_repeated_rows_lose_all(spark):
     assert sorted((g.n_removed, g.n_spans) for g in got.collect()) == [(0, 0), (500, 1), (500, 1), (500, 1)]
 
 
+def test_planted_passages_by_length(spark):
+    r = random.Random(4)
+    prose = lambda n: " ".join("".join(r.choice("abcdefghijklmnopé") for _ in range(r.randint(3, 6))) for _ in range(n))
+    sizes = [330, 399, 400, 401, 700]
+    passages = [prose(300).replace("é", "e")[:n] for n in sizes]
+    assert all(len(p.split()) > 50 for p in passages)
+    # each passage in three texts, with other signs beside it
+    texts = [f"{prose(r.randint(5, 300))}{k}{p}{k}{prose(r.randint(5, 300))}" for p in passages for k in range(3)]
+    texts += [prose(r.randint(60, 600)) for _ in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for length in (400, 250):
+        got = sorted(suffix_dedup.remove_repeats(docs, length=length).collect())
+        planted = [n if n >= length else 0 for n in sizes for _ in range(3)]
+        assert [g.n_removed for g in got] == planted + [0] * 30
+        assert [g.n_bytes for g in got] == [len(t.encode()) for t in texts]
+
+
 def test_language_on_held_out_rows(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     model = langid.train(docs)
