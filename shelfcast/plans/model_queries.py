@@ -14,13 +14,13 @@ from shelfcast.operators.halving import series_scorer, successive_halving, winne
 from shelfcast.operators.models import (
     importances, poisson_model, predictor, share_model, softmax_share_model, train, tree_model, tune_rounds, tweedie_model, unpenalised,
 )
-from shelfcast.operators.recursion import average_runs, recursive_forecast, seasonal_forecast
+from shelfcast.operators.recursion import average_runs, recursive_forecast
 from shelfcast.operators.reshape import pivot_steps
 from shelfcast.operators.seasonal import forecast_series, random_candidates, score_candidates
 from shelfcast.operators.series_recursion import LinearModel, recursive_forecast_in_partition
 from shelfcast.operators.topdown import renormalise
 from shelfcast.operators.trend import holiday_windows, trend_forecast
-from shelfcast.operators.windows import growth_rates, series_features
+from shelfcast.operators.windows import series_features
 from shelfcast.plans.feature_queries import ROLLED, STORE_DEPT_SQL, features_sql, panel_features, store_dept_table
 from shelfcast.plans.panel import (
     KEYS, SERIES_KEYS, dept_days, panel_calendar, panel_grid, panel_horizon, panel_rates, panel_sales, panel_tasks,
@@ -28,7 +28,9 @@ from shelfcast.plans.panel import (
 )
 from shelfcast.plans.panel_sql import with_panel
 from shelfcast.plans.registry import query, r6
-from shelfcast.plans.score_queries import SCORE_SQL, SHARES_SQL, score_history, scores_sql, top_down_forecast
+from shelfcast.plans.score_queries import (
+    SCORE_SQL, SEASONAL_SQL, SHARES_SQL, score_history, scores_sql, seasonal_volumes, top_down_forecast,
+)
 from shelfcast.session import cut_lineage, measured, scratch_path
 
 LAGGED = ["lag_7", "lag_28", *ROLLED]
@@ -40,27 +42,12 @@ UNKNOWN = 0.0
 
 # --- recursion ---------------------------------------------------------------
 
-SEASONAL_SQL = ["""
-week AS MATERIALIZED (SELECT store_id, dept_id, CAST(d - t AS INTEGER) AS day, sales FROM dept, bounds WHERE d BETWEEN t - 6 AND t)""",
-                "rated AS MATERIALIZED (SELECT * FROM rates)", """
-ahead AS MATERIALIZED (SELECT h, CAST(ceil(h / 7.0) AS INTEGER) AS weeks, CAST(h - 7 * ceil(h / 7.0) AS INTEGER) AS day FROM steps)""", """
-volumes AS MATERIALIZED (
-  SELECT w.store_id, w.dept_id, h, power(rate, weeks) * sales AS volume
-  FROM ahead a JOIN week w ON w.day = a.day
-  JOIN rated r ON r.dept_id = w.dept_id AND r.store_id = w.store_id)"""]
-
-
-def _seasonal_volumes(history: DataFrame, train_last: int) -> DataFrame:
-    days = dept_days(history, train_last)
-    return seasonal_forecast(days, growth_rates(days, train_last), train_last)
-
-
 @query("recursive_seasonal", with_panel("part", *SEASONAL_SQL)
        + "SELECT store_id, dept_id, h, round(volume, 6) AS yhat FROM volumes")
 def recursive_seasonal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekly repetition with growth, per store and department."""
     end = panel_horizon(spark, sf_dir).train_last
-    volumes = _seasonal_volumes(panel_sales(spark, sf_dir).filter(F.col("d") <= end), end)
+    volumes = seasonal_volumes(panel_sales(spark, sf_dir).filter(F.col("d") <= end), end)
     return volumes.withColumn("yhat", r6("yhat"))
 
 
@@ -73,7 +60,7 @@ SELECT level, round(score, 6) AS score FROM scores""")
 def wrmsse_top_down(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole chain: volumes of stores and departments, shares, items, and their score on every level."""
     horizon, history, earned = score_history(spark, sf_dir)
-    volumes = measured(_seasonal_volumes(history, horizon.train_last)).select(
+    volumes = measured(seasonal_volumes(history, horizon.train_last)).select(
         "store_id", "dept_id", "h", F.lit("seasonal").alias("forecast_model"), F.col("yhat").alias("volume")
     )
     errors = top_down_forecast(measured(recent_series(spark, sf_dir)), volumes).select(*KEYS, "h", (F.col("truth") - F.col("yhat")).alias("error"))

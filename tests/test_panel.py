@@ -1,5 +1,7 @@
 """The grid: prices of the past only, a full horizon, and columns that follow the data."""
 
+from datetime import datetime, time, timedelta
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -11,7 +13,7 @@ from shelfcast.operators.projection import distinct_values, one_hot
 from shelfcast.operators.reshape import item_matrix
 from shelfcast.operators.seasonal import CHUNK, design, fit_predict, forecast_series, random_candidates, score_candidates
 from shelfcast.plans.catalog import QUERIES
-from shelfcast.plans.panel import KEYS, dept_days, panel_grid, panel_horizon, panel_sales, week_of
+from shelfcast.plans.panel import EPOCH, KEYS, dept_days, panel_grid, panel_horizon, panel_sales, week_of
 from shelfcast.plans.score_queries import BASELINES, score_history
 
 
@@ -150,3 +152,38 @@ def test_totals_read_no_day_past_their_last(spark):
     sales = spark.createDataFrame([("A", "x", 1, 2.0), ("A", "x", 3, 5.0), ("A", "x", 9, 7.0)], "store_id string, dept_id string, d int, sales double")
     rows = dept_days(sales, 4).orderBy("d").collect()
     assert [(r.d, r.sales) for r in rows] == [(1, 2.0), (2, 0.0), (3, 5.0), (4, 0.0)]
+
+
+# --- tables of their own -----------------------------------------------------
+
+def write_tables(spark, folder, lines):
+    """Tables of two items of one department in one store; ``lines`` are (part, day, quantity)."""
+    dated = [(p, 1, float(q), float(q) * 2, datetime.combine(EPOCH, time()) + timedelta(days=d)) for p, d, q in lines]
+    for name, rows, schema in [
+        ("lineitem", dated, "l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz"),
+        ("part", [(p, "Brand#1", "PROMO") for p in sorted({x[0] for x in lines})], "p_partkey long, p_brand string, p_type string"),
+        ("supplier", [(1, 1)], "s_suppkey long, s_nationkey int"), ("nation", [(1, 1)], "n_nationkey int, n_regionkey int"),
+        ("region", [(1, "ASIA")], "r_regionkey int, r_name string"),
+    ]:
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_top_down_spreads_the_departments_own_forecast(spark, tmp_path):
+    last, end = 128, 100
+    own = {1: lambda d: 4.0 + (d > 60) * 2, 2: lambda d: 3.0 * (d % 7 == 0)}
+    lines = [(p, d, q(d)) for p, q in own.items() for d in range(1, last + 1) if q(d)]
+    lines.append((3, 5, 1.0))  # long silent: its share is 0
+    folder = write_tables(spark, tmp_path, lines)
+    total = {d: sum(q for _, x, q in lines if x == d) for d in range(1, end + 1)}
+    changes = [total[d] / total[d - 28] - 1 for d in range(29, end + 1)]
+    changes = [c for c in changes if abs(c) < 1]
+    rate = 1 + sum(changes) / len(changes)
+    weeks = {h: -(-h // 7) for h in range(1, 29)}
+    volumes = {h: rate ** w * total[end + h - 7 * w] for h, w in weeks.items()}
+    month = {p: sum(q for x, d, q in lines if x == p and end - 28 < d <= end) for p in (1, 2, 3)}
+    shares = {f"PROMO_{p}_ASIA": month[p] / sum(month.values()) for p in month}
+    got = {(r.id, r.h): r.yhat for r in QUERIES["top_down"](spark, folder).collect()}
+    assert got == {(i, h): pytest.approx(volumes[h] * share, abs=1e-6) for i, share in shares.items() for h in volumes}
+    # the forecast follows the department's week, which a sum of the items' means does not
+    assert len({round(v, 6) for v in volumes.values()}) > 4
