@@ -102,7 +102,9 @@ def scan_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One folder of CSV files per model, read by one glob; the model comes from the path."""
     root, per_id = scratch_path(spark, "models"), measured(recent_series(spark, sf_dir))
     for m in BASELINES:  # a folder per write: rows are not sorted into folders
-        write_csv(horizon_forecasts(per_id).select("id", "h", F.col(m).alias("yhat")), f"{root}/model={m}")
+        rows = horizon_forecasts(per_id).select("id", "h", F.col(m).alias("yhat"))
+        # an id stands in 28 lines in a row, of which gzip leaves little
+        write_csv(rows, f"{root}/model={m}", compression="gzip")
     schema = T.StructType([
         T.StructField("id", T.StringType()), T.StructField("h", T.IntegerType()), T.StructField("yhat", T.DoubleType()),
     ])

@@ -61,9 +61,12 @@ def read_csv_glob(spark: SparkSession, pattern: str, schema: T.StructType) -> Da
     return raw.select(*[f.name for f in schema.fields], path.alias("file_path"))
 
 
-def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
-    """CSV with a header and no index column."""
-    df.write.partitionBy(*partition_by).option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (), compression: str | None = None) -> str:
+    """CSV with a header and no index column; readers know a ``compression`` by the ending of the files.
+
+    A compressed file is read by one task, as a stream.
+    """
+    df.write.partitionBy(*partition_by).option("header", True).csv(path, compression=compression)
     return path
 
 

@@ -1,6 +1,8 @@
 """What keeps the panel's jobs in proportion to the lines: tasks, buckets, exchanges, stored tables."""
 
+import os
 import random
+from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pytest
@@ -145,3 +147,12 @@ def test_rows_without_an_item_keep_their_level_keys(spark):
     got = {(r.level, r.key): r.sales for r in rollup_levels(df).filter("level like 'item%'").collect()}
     assert got == {("item", ""): 6.0, ("item", "i1"): 3.0, ("item_state", "x"): 6.0, ("item_state", "i1/x"): 3.0,
                    ("item_store", "s1"): 2.0, ("item_store", "s2"): 4.0, ("item_store", "i1/s1"): 3.0}
+
+
+def test_files_of_the_models_do_not_repeat_each_id_28_times(spark, small):
+    rows = QUERIES["scan_glob"](spark, small)
+    written = sum(os.path.getsize(unquote(urlparse(f).path)) for f in rows.inputFiles())
+    ids = rows.select("id").distinct().collect()
+    assert rows.count() == 3 * 28 * len(ids)
+    # an id, and what its 28 steps add, in each of three folders
+    assert written < 3 * sum(len(r.id) + 28 * 4 for r in ids)
