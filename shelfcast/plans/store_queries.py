@@ -60,5 +60,7 @@ def append_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     with temporary_store(spark, weeks=104, buckets=panel_tasks(spark, sf_dir)) as (store, path):
         stored_panel(spark, sf_dir, store, path, before)
         append_days(spark, sf_dir, store, before.train_last, today)
-        rows = store.read().withColumn("date", date_of())
-        return measured(rows.select(*KEYS, "d", "date", "sales", r6("sell_price")))
+        # the store's own files are the result: they outlive the table, so nothing is copied
+        rows = store.files(path).withColumn("date", date_of())
+        # prices are whole cents, so there is nothing to round
+        return rows.select(*KEYS, "d", "date", "sales", "sell_price")

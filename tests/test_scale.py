@@ -16,6 +16,7 @@ from shelfcast.operators.reshape import pivot_steps
 from shelfcast.operators.sampling import sample_with_replacement
 from shelfcast.plans import panel, store_queries
 from shelfcast.plans.catalog import QUERIES
+from shelfcast.sources import panel_store
 
 
 def plan(df):
@@ -156,3 +157,16 @@ def test_files_of_the_models_do_not_repeat_each_id_28_times(spark, small):
     assert rows.count() == 3 * 28 * len(ids)
     # an id, and what its 28 steps add, in each of three folders
     assert written < 3 * sum(len(r.id) + 28 * 4 for r in ids)
+
+
+def test_an_append_stores_no_day_twice(spark, small, monkeypatch):
+    stored, real = [], panel_store.measured
+    monkeypatch.setattr(panel_store, "measured", lambda df: stored.append(real(df)) or stored[-1])
+    rows = QUERIES["append_week"](spark, small)
+    # the result lies in the files of the store
+    assert rows.count() and all("/block=" in f for f in rows.inputFiles())
+    fresh, quiet = stored
+    # beside the new days only a row for each silent series
+    assert "d" in fresh.columns and "d" not in quiet.columns
+    assert quiet.count() == quiet.select("id").distinct().count() > 0
+    assert quiet.join(fresh, "id").isEmpty()
